@@ -1 +1,202 @@
-"""Queries (filled in below)."""
+"""Image-scoring queries: model, top-k, sentinel, label counts, index listing."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import constants as C
+from ..operators import scoring as SC
+from ..operators import tags as T
+from ..sources import tables
+from .registry import register
+
+MEAN, SCALE = C.PIXEL_MEAN, C.PIXEL_SCALE
+
+# Centroid model and softmax scores of every embedding, in DuckDB.
+SCORES_CTE = f"""
+cells AS (SELECT label AS node, i AS pos, (embedding[i + 1]::DOUBLE - {MEAN}) / {SCALE} AS v
+          FROM embeddings, range(len(embedding)) t(i) WHERE embedding IS NOT NULL),
+centroids AS (SELECT node, pos, avg(v) AS c FROM cells GROUP BY node, pos),
+dims AS (SELECT max(cnt) AS dim FROM (SELECT node, count(*) AS cnt FROM centroids GROUP BY node)),
+vecs AS (SELECT vec_id, i AS pos, (embedding[i + 1]::DOUBLE - {MEAN}) / {SCALE} AS x
+         FROM embeddings, range(len(embedding)) t(i)
+         WHERE len(embedding) = (SELECT dim FROM dims)),
+logits AS (SELECT v.vec_id, c.node, -sum((v.x - c.c) * (v.x - c.c)) AS logit
+           FROM vecs v JOIN centroids c ON v.pos = c.pos GROUP BY v.vec_id, c.node),
+expd AS (SELECT vec_id, node, exp(logit - max(logit) OVER (PARTITION BY vec_id)) AS e FROM logits),
+probs AS (SELECT vec_id, node, e / sum(e) OVER (PARTITION BY vec_id) AS prob FROM expd),
+ranked AS (SELECT vec_id, node, prob,
+                  row_number() OVER (PARTITION BY vec_id ORDER BY prob DESC, node) AS rank FROM probs),
+named AS (SELECT r.*, coalesce(n.n_name, '') AS label FROM ranked r LEFT JOIN nation n ON r.node = n.n_nationkey)"""
+
+# Classification of the page index: pages left join vectors, sentinel when missing.
+CLASSIFICATION_CTE = SCORES_CTE + f""",
+classification AS (
+  SELECT 'im' || p.page_id AS image, n.label, n.prob AS score
+  FROM pages p JOIN named n ON n.vec_id = p.page_id WHERE n.rank <= {C.MAX_SCORE_LABELS}
+  UNION ALL
+  SELECT 'im' || p.page_id, '{C.NONE_LABEL}', {C.NONE_SCORE}
+  FROM pages p WHERE p.page_id NOT IN (SELECT vec_id FROM logits))"""
+
+
+def model(spark, sf_dir):
+    emb = tables.table(spark, sf_dir, "embeddings").select("embedding", "label")
+    return SC.centroid_model(emb)
+
+
+def dictionary(spark, sf_dir):
+    return SC.nation_dictionary(tables.table(spark, sf_dir, "nation"))
+
+
+def classification(spark, sf_dir):
+    """(image 'im<page_id>', label, score) for every page of the index."""
+    pages = tables.table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"))
+    contents = tables.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    scored = SC.classify_images(pages, contents, model(spark, sf_dir), dictionary(spark, sf_dir), "id")
+    return scored.select(F.concat(F.lit("im"), F.col("id").cast("string")).alias("image"), "label", "score")
+
+
+@register("score_topk",
+          "WITH " + SCORES_CTE.strip() + f"""
+SELECT 'im' || vec_id AS image, rank, label, round(prob, 6) AS score FROM named
+WHERE rank <= {C.MAX_SCORE_LABELS}""",
+          "M9,S14,W1,O6,O7,J5,F14,X24,P7,D10")
+def score_topk_df(spark, sf_dir):
+    emb = tables.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    scored = SC.score_vectors(emb, model(spark, sf_dir), "vec_id")
+    named = SC.name_nodes(scored, dictionary(spark, sf_dir))
+    return named.select(F.concat(F.lit("im"), F.col("vec_id").cast("string")).alias("image"),
+                        F.col("rank").cast("bigint").alias("rank"), "label",
+                        F.round("prob", 6).alias("score"))
+
+
+@register("score_sentinel",
+          "WITH " + CLASSIFICATION_CTE.strip() + "\nSELECT image, label, round(score, 6) AS score FROM classification",
+          "S6,M9,F14,D6,D9,K6")
+def score_sentinel_df(spark, sf_dir):
+    c = classification(spark, sf_dir)
+    return c.select("image", "label", F.round("score", 6).alias("score"))
+
+
+@register("label_counts",
+          "WITH " + CLASSIFICATION_CTE.strip() + f"""
+SELECT label, count(*) AS count FROM classification WHERE label <> '{C.NONE_LABEL}' GROUP BY label""",
+          "A3,F1,K4")
+def label_counts_df(spark, sf_dir):
+    c = classification(spark, sf_dir)
+    return c.where(F.col("label") != C.NONE_LABEL).groupBy("label").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("label_top50",
+          "WITH " + CLASSIFICATION_CTE.strip() + f""",
+counts AS (SELECT label, count(*) AS count FROM classification WHERE label <> '{C.NONE_LABEL}' GROUP BY label)
+SELECT label, count FROM (SELECT * FROM counts ORDER BY count DESC, label LIMIT {C.TOP_TAGS}) ORDER BY label""",
+          "O2,A3,F1,D2")
+def label_top50_df(spark, sf_dir):
+    counts = label_counts_df(spark, sf_dir)
+    return T.top_tags(counts, label="label", count="count", n=C.TOP_TAGS, prefilter=C.TOP_TAGS, exclude=None)
+
+
+@register("unscored_images",
+          "WITH " + CLASSIFICATION_CTE.strip() + f"\nSELECT image FROM classification WHERE label = '{C.NONE_LABEL}'",
+          "F2,K1")
+def unscored_images_df(spark, sf_dir):
+    return classification(spark, sf_dir).where(F.col("label") == C.NONE_LABEL).select("image")
+
+
+# ---- HTML index listing ----------------------------------------------------
+
+LISTING_SQL = f"""
+SELECT page_id, pos, name, url || '/' || name AS image_url, (pos - 2) // {C.LOT_SIZE} AS lot FROM (
+  SELECT page_id, url, pos, string_split(string_split(piece, '<')[2], '>')[2] AS name
+  FROM (SELECT page_id, url, unnest(string_split(html, '<li>')) AS piece,
+               generate_subscripts(string_split(html, '<li>'), 1) - 1 AS pos FROM pages))
+WHERE pos >= 2 AND pos < {C.IMAGES_PER_INDEX} + 2 AND name IS NOT NULL"""
+
+
+def listing(spark, sf_dir, n: int = C.IMAGES_PER_INDEX):
+    """Items of each page's ``<li>`` list after the first one, first ``n``:
+    link text = text between the first '>' and the next '<' of the item."""
+    pages = tables.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pieces = pages.select("page_id", "url", F.posexplode(F.split("html", "<li>")).alias("pos", "piece"))
+    items = pieces.where((F.col("pos") >= 2) & (F.col("pos") < n + 2))
+    name = F.get(F.split(F.get(F.split("piece", "<"), 1), ">"), 1)
+    return (items.select("page_id", F.col("pos").cast("bigint").alias("pos"), name.alias("name"), "url")
+            .where(F.col("name").isNotNull())
+            .withColumn("image_url", F.concat("url", F.lit("/"), "name"))
+            .withColumn("lot", F.floor((F.col("pos") - 2) / C.LOT_SIZE).cast("bigint"))
+            .drop("url"))
+
+
+@register("index_listing", "SELECT page_id, pos, name, image_url FROM (" + LISTING_SQL + ")", "S5,O10,X23,X3")
+def index_listing_df(spark, sf_dir):
+    return listing(spark, sf_dir).select("page_id", "pos", "name", "image_url")
+
+
+@register("image_lots",
+          "SELECT page_id, lot, count(*) AS n_images, min(pos) AS first_pos FROM (" + LISTING_SQL + ") GROUP BY page_id, lot",
+          "W2")
+def image_lots_df(spark, sf_dir):
+    return (listing(spark, sf_dir).groupBy("page_id", "lot")
+            .agg(F.count(F.lit(1)).alias("n_images"), F.min("pos").alias("first_pos")))
+
+
+# ---- label vocabulary and score features -----------------------------------
+
+@register("label_vocabulary",
+          "WITH " + CLASSIFICATION_CTE.strip() + """
+SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx, count(*) OVER () AS n_labels
+FROM (SELECT DISTINCT label FROM classification)""",
+          "A8,O4,J7")
+def label_vocabulary_df(spark, sf_dir):
+    return label_vocabulary(classification(spark, sf_dir))
+
+
+def label_vocabulary(scores):
+    """Sorted distinct labels with their 0-based position.  The window runs
+    over the distinct label set only (bounded by the model's classes)."""
+    labels = scores.select("label").distinct()
+    return (labels.withColumn("idx", (F.row_number().over(Window.orderBy("label")) - 1).cast("bigint"))
+            .withColumn("n_labels", F.count(F.lit(1)).over(Window.partitionBy()).cast("bigint")))
+
+
+@register("score_features",
+          "WITH " + CLASSIFICATION_CTE.strip() + """,
+vocab AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx FROM (SELECT DISTINCT label FROM classification))
+SELECT CAST(substr(c.image, 3) AS BIGINT) AS imagen, v.idx, round(max(c.score), 6) AS score
+FROM classification c JOIN vocab v USING (label) GROUP BY imagen, v.idx""",
+          "M2,X22,A5,J7,X2,D3,D4")
+def score_features_df(spark, sf_dir):
+    return score_features(classification(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
+def score_features(scores):
+    """Sparse score vector in long form (imagen, idx, score); a repeated
+    label on one image keeps its highest score."""
+    vocab = label_vocabulary(scores).select("label", "idx")
+    from ..functions import text as X
+    return (scores.join(F.broadcast(vocab), "label")
+            .groupBy(X.image_number(F.col("image")).alias("imagen"), "idx")
+            .agg(F.max("score").alias("score")))
+
+
+@register("dashboard_totals",
+          "WITH " + CLASSIFICATION_CTE.strip() + f"""
+SELECT (SELECT count(*) FROM (SELECT unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) FROM documents)) AS n_original_tags,
+       (SELECT count(DISTINCT image) FROM classification) AS n_images,
+       (SELECT label FROM (SELECT label, count(*) AS c FROM classification WHERE label <> '{C.NONE_LABEL}'
+                           GROUP BY label ORDER BY c DESC, label LIMIT 1)) AS top_label,
+       (SELECT format('{{:,}}', count(*)) FROM (SELECT unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) FROM documents)) AS n_original_tags_text""",
+          "A10,A11,O8,X18,F12")
+def dashboard_totals_df(spark, sf_dir):
+    docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = T.lines_from_text(docs, "doc_id", "text")
+    c = classification(spark, sf_dir)
+    n_tags = lines.agg(F.count(F.lit(1)).alias("n_original_tags"))
+    n_img = c.agg(F.count_distinct("image").alias("n_images"))
+    top = T.most_frequent(label_counts_df(spark, sf_dir), "label", "count").select(F.col("label").alias("top_label"))
+    out = n_tags.withColumn("_k", F.lit(0)).join(n_img.withColumn("_k", F.lit(0)), "_k") \
+        .join(top.withColumn("_k", F.lit(0)), "_k", "left")
+    return out.select("n_original_tags", "n_images", "top_label",
+                      F.format_number(F.col("n_original_tags"), 0).alias("n_original_tags_text"))
