@@ -1 +1,232 @@
-"""Queries (filled in below)."""
+"""Cross-vocabulary label inference: tags -> model labels and back.
+
+Depth-1 forests are checked against SQL; depth-8 forests (the reference's
+setting) and the MLlib path are rows-only checks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import constants as C
+from ..functions import text as X
+from ..operators import features as FE
+from ..operators import tags as T
+from ..operators import trees as TR
+from ..sources import standins
+from . import q_scoring as QS
+from . import sql_text as S
+from .q_tags import LINES_SQL, _not_in
+from .registry import register
+
+# ---- Spark side -------------------------------------------------------------
+
+
+def tag_pairs(spark, sf_dir):
+    tags = T.normalized_tags(standins.tag_lines(spark, sf_dir))
+    return tags.select(F.col("image").alias("id"), F.col("label_normalized").alias("label"))
+
+
+def model_pairs(spark, sf_dir, keep_sentinel: bool = True):
+    c = QS.classification(spark, sf_dir)
+    if not keep_sentinel:
+        c = c.where(F.col("label") != C.NONE_LABEL)
+    return c.select(X.image_number(F.col("image")).alias("id"), "label")
+
+
+def direction_tags_to_labels(spark, sf_dir):
+    """(features, targets, truth) with user tags as features, model labels as targets."""
+    tags, labels = tag_pairs(spark, sf_dir), model_pairs(spark, sf_dir)
+    ids = FE.common_ids(labels, tags)
+    tags_j = tags.join(ids, "id", "left_semi")
+    vocab = FE.term_vocabulary(tags_j)
+    feats = FE.bag_of_words(tags_j, vocab)
+    top = QS.label_top50_df(spark, sf_dir).select("label")
+    return feats, FE.targets_table(ids, labels, top), labels, vocab, ids
+
+
+def direction_labels_to_tags(spark, sf_dir):
+    """(features, targets, truth) with model scores as features, user tags as targets."""
+    tags = tag_pairs(spark, sf_dir)
+    scores = QS.classification(spark, sf_dir)
+    labels = scores.select(X.image_number(F.col("image")).alias("id"), "label")
+    ids = FE.common_ids(labels, tags)
+    feats = (QS.score_features(scores)
+             .select(F.col("imagen").alias("id"), F.col("idx").alias("f"), F.col("score").alias("v"))
+             .join(ids, "id", "left_semi"))
+    top = T.top_tags(T.tag_counts(T.normalized_tags(standins.tag_lines(spark, sf_dir)))) \
+        .select(F.col("label_normalized").alias("label"))
+    return feats, FE.targets_table(ids, tags, top), tags, None, ids
+
+
+def forest_predictions(spark, sf_dir, direction, depth):
+    feats, targets, truth, _, _ = direction(spark, sf_dir)
+    thresholds = TR.BINARY_THRESHOLDS if direction is direction_tags_to_labels else TR.SCORE_THRESHOLDS
+    _, assign = TR.train_and_assign(targets, feats, thresholds, depth)
+    return TR.leaf_predictions(assign)
+
+
+def statistics(spark, sf_dir, direction, depth):
+    feats, targets, truth, _, _ = direction(spark, sf_dir)
+    thresholds = TR.BINARY_THRESHOLDS if direction is direction_tags_to_labels else TR.SCORE_THRESHOLDS
+    _, assign = TR.train_and_assign(targets, feats, thresholds, depth)
+    preds = TR.predicted_pairs(TR.leaf_predictions(assign))
+    test_ids = targets.where(~F.col("train")).select("id").distinct()
+    truth_test = truth.join(test_ids, "id", "left_semi")
+    return TR.prediction_statistics(preds, truth_test)
+
+
+# ---- SQL side ---------------------------------------------------------------
+
+def _bucket(col: str) -> str:
+    return f"((({col} % {FE.SPLIT_MODULUS}) * {FE.SPLIT_MULTIPLIER} + {FE.SPLIT_OFFSET}) % 100)"
+
+
+BASE_CTE = ("WITH RECURSIVE " + S.normalized_tags_cte(LINES_SQL).strip() + ",\n"
+            + QS.CLASSIFICATION_CTE.strip() + f""",
+tag_pairs AS (SELECT image AS id, label_normalized AS label FROM tags),
+model_pairs AS (SELECT CAST(substr(image, 3) AS BIGINT) AS id, label FROM classification),
+ids AS (SELECT id FROM (SELECT DISTINCT id FROM model_pairs) JOIN (SELECT DISTINCT id FROM tag_pairs) USING (id)),
+tag_counts AS (SELECT label_normalized, count(*) AS tag_count FROM tags GROUP BY label_normalized),
+tag_top AS (SELECT label_normalized AS label FROM (
+  SELECT * FROM (SELECT * FROM tag_counts ORDER BY tag_count DESC, label_normalized LIMIT {C.TOP_TAGS_PREFILTER})
+  WHERE label_normalized NOT IN {_not_in(C.NON_SIGNIFICANT_TAGS)}
+  ORDER BY tag_count DESC, label_normalized LIMIT {C.TOP_TAGS})),
+label_top AS (SELECT label FROM (SELECT label, count(*) AS c FROM classification WHERE label <> '{C.NONE_LABEL}'
+              GROUP BY label ORDER BY c DESC, label LIMIT {C.TOP_TAGS})),
+tags_j AS (SELECT * FROM tag_pairs WHERE id IN (SELECT id FROM ids)),
+vocab AS (SELECT label, row_number() OVER (ORDER BY tf DESC, label) - 1 AS f FROM (
+  SELECT label, count(*) AS tf FROM tags_j GROUP BY label ORDER BY tf DESC, label LIMIT {C.VOCAB_SIZE})),
+feat_a AS (SELECT id, f, CAST(count(*) AS DOUBLE) AS v FROM tags_j JOIN vocab USING (label) GROUP BY id, f),
+tgt_a AS (SELECT l.label AS target, i.id, CASE WHEN p.id IS NULL THEN 0 ELSE 1 END AS y,
+                 {_bucket('i.id')} < {C.TRAIN_PERCENT} AS train
+          FROM ids i CROSS JOIN label_top l
+          LEFT JOIN (SELECT DISTINCT id, label FROM model_pairs) p ON p.id = i.id AND p.label = l.label),
+lvocab AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx FROM (SELECT DISTINCT label FROM classification)),
+feat_b AS (SELECT CAST(substr(c.image, 3) AS BIGINT) AS id, v.idx AS f, max(c.score) AS v
+           FROM classification c JOIN lvocab v USING (label)
+           WHERE CAST(substr(c.image, 3) AS BIGINT) IN (SELECT id FROM ids) GROUP BY 1, 2),
+tgt_b AS (SELECT l.label AS target, i.id, CASE WHEN p.id IS NULL THEN 0 ELSE 1 END AS y,
+                 {_bucket('i.id')} < {C.TRAIN_PERCENT} AS train
+          FROM ids i CROSS JOIN tag_top l
+          LEFT JOIN (SELECT DISTINCT id, label FROM tag_pairs) p ON p.id = i.id AND p.label = l.label)""")
+
+
+def _gini(n: str, n1: str) -> str:
+    p = f"(CAST({n1} AS DOUBLE) / CAST({n} AS DOUBLE))"
+    return f"(1.0 - {p} * {p} - (1.0 - {p}) * (1.0 - {p}))"
+
+
+def depth1_cte(p: str, tgt: str, feat: str, thresholds: list[float]) -> str:
+    """CTEs ``{p}_pred(id, label)`` of a depth-1 forest, mirroring trees.py."""
+    tl = "[" + ", ".join(repr(float(t)) for t in thresholds) + "]"
+    bin_expr = " + ".join(f"(CASE WHEN f.v > {float(t)!r} THEN 1 ELSE 0 END)" for t in thresholds)
+    return f""",
+{p}_stats AS (SELECT target, count(*) AS n, sum(y) AS n1 FROM {tgt} WHERE train GROUP BY target),
+{p}_binned AS (SELECT target, f, bin, count(*) AS c, sum(y) AS c1 FROM (
+    SELECT t.target, f.f, t.y, {bin_expr} AS bin FROM {tgt} t JOIN {feat} f ON t.id = f.id WHERE t.train)
+  WHERE bin >= 1 GROUP BY target, f, bin),
+{p}_cum AS (SELECT target, f, bin,
+    sum(c) OVER (PARTITION BY target, f ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nr,
+    sum(c1) OVER (PARTITION BY target, f ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nr1,
+    coalesce(lead(bin) OVER (PARTITION BY target, f ORDER BY bin DESC), 0) AS prev_bin FROM {p}_binned),
+{p}_cand AS (SELECT c.target, c.f, c.prev_bin, s.n, s.n1, c.nr, c.nr1, s.n - c.nr AS nl, s.n1 - c.nr1 AS nl1
+  FROM {p}_cum c JOIN {p}_stats s USING (target)),
+{p}_gain AS (SELECT target, f, {tl}[prev_bin + 1] AS t,
+    round({_gini('n', 'n1')} - nl / n * {_gini('nl', 'nl1')} - nr / n * {_gini('nr', 'nr1')}, {TR.GAIN_DECIMALS}) AS gain
+  FROM {p}_cand WHERE nr >= 1 AND nl >= 1),
+{p}_best AS (SELECT target, f, t FROM (
+    SELECT *, row_number() OVER (PARTITION BY target ORDER BY gain DESC, f, t) AS rn FROM {p}_gain WHERE gain > 0)
+  WHERE rn = 1),
+{p}_assign AS (SELECT t.target, t.id, t.y, t.train,
+    CASE WHEN b.f IS NULL THEN 1 ELSE 2 + CAST(coalesce(fv.v, 0.0) > b.t AS INTEGER) END AS node
+  FROM {tgt} t LEFT JOIN {p}_best b ON b.target = t.target LEFT JOIN {feat} fv ON fv.id = t.id AND fv.f = b.f),
+{p}_leaves AS (SELECT target, node, CASE WHEN sum(y) * 2 > count(*) THEN 1 ELSE 0 END AS prediction
+  FROM {p}_assign WHERE train GROUP BY target, node),
+{p}_pred AS (SELECT a.id, a.target AS label FROM {p}_assign a JOIN {p}_leaves l USING (target, node)
+  WHERE NOT a.train AND l.prediction = 1)"""
+
+
+A_CTE = BASE_CTE + depth1_cte("a", "tgt_a", "feat_a", TR.BINARY_THRESHOLDS)
+B_CTE = BASE_CTE + depth1_cte("b", "tgt_b", "feat_b", TR.SCORE_THRESHOLDS)
+
+
+def _stats_sql(p: str, tgt: str, truth: str) -> str:
+    return f""",
+{p}_truth AS (SELECT DISTINCT id, label FROM {truth} WHERE id IN (SELECT id FROM {tgt} WHERE NOT train)),
+{p}_n_images AS (SELECT label, count(*) AS num_images FROM {p}_truth GROUP BY label),
+{p}_n_pred AS (SELECT label, count(*) AS num_predicciones FROM (SELECT DISTINCT id, label FROM {p}_pred) GROUP BY label),
+{p}_hits AS (SELECT label, count(*) AS aciertos FROM {p}_truth t
+             WHERE EXISTS (SELECT 1 FROM {p}_pred q WHERE q.id = t.id AND q.label = t.label) GROUP BY label),
+{p}_statsout AS (SELECT label, num_images, num_predicciones, coalesce(aciertos, 0) AS aciertos
+  FROM {p}_n_pred JOIN {p}_n_images USING (label) LEFT JOIN {p}_hits USING (label))"""
+
+
+# ---- registry ---------------------------------------------------------------
+
+@register("train_test_split",
+          BASE_CTE + f"\nSELECT id, {_bucket('id')} < {C.TRAIN_PERCENT} AS train FROM ids", "M3,D1,J1")
+def train_test_split_df(spark, sf_dir):
+    ids = FE.common_ids(model_pairs(spark, sf_dir), tag_pairs(spark, sf_dir))
+    return ids.select("id", FE.is_train(F.col("id")).alias("train"))
+
+
+@register("bag_of_words", BASE_CTE + "\nSELECT id, label AS term, f, v FROM feat_a JOIN vocab USING (f)",
+          "M1,A15,J1,A4,P4")
+def bag_of_words_df(spark, sf_dir):
+    feats, _, _, vocab, _ = direction_tags_to_labels(spark, sf_dir)
+    return feats.join(F.broadcast(vocab), "f").select("id", F.col("label").alias("term"), "f", "v")
+
+
+@register("one_vs_rest", BASE_CTE + "\nSELECT target, id, y, train FROM tgt_a", "J10,M4,X21,P11,D5")
+def one_vs_rest_df(spark, sf_dir):
+    _, targets, _, _, _ = direction_tags_to_labels(spark, sf_dir)
+    return targets
+
+
+@register("infer_labels_from_tags", A_CTE + "\nSELECT id, label FROM a_pred", "J1,M6,M7,F6,P10,U1 (depth 1)")
+def infer_labels_from_tags_df(spark, sf_dir):
+    return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_tags_to_labels, 1))
+
+
+@register("infer_tags_from_labels", B_CTE + "\nSELECT id, label FROM b_pred", "J2,M2,M6,M7,F6,U1 (depth 1)")
+def infer_tags_from_labels_df(spark, sf_dir):
+    return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_labels_to_tags, 1))
+
+
+@register("prediction_stats",
+          A_CTE + _stats_sql("a", "tgt_a", "model_pairs") + "\nSELECT * FROM a_statsout",
+          "A6,A9,J3,J4,U3,M8,P6 (depth 1)")
+def prediction_stats_df(spark, sf_dir):
+    return statistics(spark, sf_dir, direction_tags_to_labels, 1)
+
+
+@register("hit_rate",
+          B_CTE + _stats_sql("b", "tgt_b", "tag_pairs") + """
+SELECT substr(label, 1, 25) AS label25, label,
+       floor(CAST(aciertos AS DOUBLE) / CAST(num_images AS DOUBLE) * 10000 + 0.5) / 100 AS tasa,
+       min(floor(CAST(aciertos AS DOUBLE) / CAST(num_images AS DOUBLE) * 10000 + 0.5) / 100) OVER () AS min_tasa,
+       max(floor(CAST(aciertos AS DOUBLE) / CAST(num_images AS DOUBLE) * 10000 + 0.5) / 100) OVER () AS max_tasa
+FROM b_statsout""",
+          "X14,X16,A12,M8 (depth 1)")
+def hit_rate_df(spark, sf_dir):
+    st = statistics(spark, sf_dir, direction_labels_to_tags, 1)
+    rated = st.select(F.substring("label", 1, 25).alias("label25"), "label",
+                      X.hit_rate(F.col("aciertos"), F.col("num_images")).alias("tasa"))
+    bounds = rated.agg(F.min("tasa").alias("min_tasa"), F.max("tasa").alias("max_tasa")).withColumn("_k", F.lit(0))
+    return rated.withColumn("_k", F.lit(0)).join(F.broadcast(bounds), "_k").drop("_k")
+
+
+@register("infer_labels_from_tags_depth8", None, "M5/M6 depth 8, M7, U1 (rows only)")
+def infer_labels_depth8_df(spark, sf_dir):
+    return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_tags_to_labels, C.TREE_DEPTH))
+
+
+@register("infer_tags_from_labels_depth8", None, "M5/M6 depth 8, M7, U1 (rows only)")
+def infer_tags_depth8_df(spark, sf_dir):
+    return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_labels_to_tags, C.TREE_DEPTH))
+
+
+@register("prediction_stats_depth8", None, "A9,M8 on depth-8 forests (rows only)")
+def prediction_stats_depth8_df(spark, sf_dir):
+    return statistics(spark, sf_dir, direction_tags_to_labels, C.TREE_DEPTH)
