@@ -94,6 +94,7 @@ def train_and_assign(targets: DataFrame, features: DataFrame, thresholds: list[f
                      max_depth: int = C.TREE_DEPTH) -> tuple[DataFrame, DataFrame]:
     """Returns (splits, assign): the split table (target, node, f, t, gain) and
     the final node of every (target, id) row of ``targets``."""
+    features = _materialize(features.select("id", "f", "v"))
     assign = targets.select("target", "id", "y", "train", F.lit(1).cast("bigint").alias("node"))
     assign = _materialize(assign)
     splits_all = None
