@@ -1 +1,119 @@
-"""Queries (filled in below)."""
+"""Streaming queries: each runs a real Structured Streaming job (availableNow)
+over a post feed derived from ``events`` and returns what its sink holds."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import constants as C
+from ..operators import scoring as SC
+from ..operators import tags as T
+from ..session import scratch_path
+from ..sources import tables
+from ..streaming import posts as P
+from . import q_scoring as QS
+from .registry import register
+
+POSTS_CTE = f"""
+posts AS (SELECT event_id AS id, ts,
+                 concat_ws(' ', event_type, CASE WHEN value > 50 THEN 'photo' ELSE 'post' END, props) AS text,
+                 CASE WHEN event_type = 'error' THEN 'video' ELSE 'photo' END AS p_type,
+                 '{P.IMAGE_HOST}' || CASE WHEN user_id % 3 = 0 THEN 'tweet_video_thumb/' ELSE '' END
+                   || 'im' || (event_id % 997) || '.jpg' AS p_url,
+                 event_type IN ('view', 'purchase') AS has_ext,
+                 '{P.IMAGE_HOST}ext/im' || ((event_id * 7 + 3) % 997) || '.jpg' AS e_url
+          FROM events),
+kw AS (SELECT * FROM posts WHERE regexp_matches(lower(text), '\\bphoto\\b')),
+urls AS (SELECT id, ts, p_url AS url FROM kw WHERE p_type = 'photo' AND contains(p_url, 'tweet_video_thumb')
+         UNION ALL SELECT id, ts, e_url FROM kw WHERE has_ext)"""
+
+STREAM_CTE = "WITH " + QS.SCORES_CTE.strip() + "," + POSTS_CTE + f""",
+keyed AS (SELECT id, url, TRY_CAST(string_split(string_split(string_split(url, '/')[-1], '.')[1], 'im')[2] AS BIGINT) AS k
+          FROM urls),
+srows AS (SELECT u.id, u.url, n.rank, n.label, n.prob FROM keyed u JOIN named n ON n.vec_id = u.k
+          WHERE n.rank <= {C.STREAM_LABELS}),
+lines AS (SELECT url, label, CAST(printf('%.2f', prob * 100) AS DOUBLE) AS pct, id FROM srows)"""
+
+
+def _feed(spark, sf_dir) -> str:
+    """Writes the post feed (JSON files) derived from ``events``."""
+    events = tables.table(spark, sf_dir, "events")
+    path = scratch_path(spark, "posts")
+    P.posts_from_events(events).write.mode("overwrite").json(path)
+    return path
+
+
+def _static_inputs(spark, sf_dir):
+    contents = tables.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return contents, SC.model_row(QS.model(spark, sf_dir)), QS.dictionary(spark, sf_dir)
+
+
+def _run_classification(spark, sf_dir) -> str:
+    feed = _feed(spark, sf_dir)
+    contents, model_row, dictionary = _static_inputs(spark, sf_dir)
+    out = scratch_path(spark, "stream-lines")
+    P.run_classification_stream(spark, feed, contents, model_row, dictionary, out,
+                                scratch_path(spark, "stream-ckpt"))
+    return out
+
+
+@register("stream_photo_urls", "WITH " + POSTS_CTE.strip() + "\nSELECT id, url FROM urls",
+          "S8,T1,T2,T3,F7,F8,F9,F10,P8,U2,T11")
+def stream_photo_urls_df(spark, sf_dir):
+    feed = _feed(spark, sf_dir)
+    posts = spark.readStream.schema(P.POST_SCHEMA).option("maxFilesPerTrigger", 8).json(feed)
+    urls = P.photo_urls(P.keyword_filter(posts)).select("id", "url")
+    out, ckpt = scratch_path(spark, "stream-urls"), scratch_path(spark, "stream-urls-ckpt")
+    (urls.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt)
+     .trigger(availableNow=True).start(out).awaitTermination())
+    return spark.read.parquet(out)
+
+
+@register("stream_classification", STREAM_CTE + "\nSELECT url, label, pct FROM lines",
+          "S7,T4,T5,T6,F11,P9,M10,X13,K7,S9,T10")
+def stream_classification_df(spark, sf_dir):
+    out = _run_classification(spark, sf_dir)
+    return P.parse_lines(spark.read.schema("value string").text(out))
+
+
+@register("stream_top25", STREAM_CTE + f"""
+SELECT label, n, upper(label) AS label_key FROM (
+  SELECT label, count(*) AS n FROM lines GROUP BY label ORDER BY n DESC, label LIMIT {C.RANKING_SIZE})""",
+          "T8,A13,O9,X17")
+def stream_top25_df(spark, sf_dir):
+    lines_dir = _run_classification(spark, sf_dir)
+    table = scratch_path(spark, "ranking")
+    P.run_ranking_stream(spark, lines_dir, table, scratch_path(spark, "ranking-ckpt"))
+    return P.top_ranking(spark.read.parquet(table)).select("label", "n", "label_key")
+
+
+@register("label_recent40", STREAM_CTE + f"""
+SELECT label, url, first_id FROM (
+  SELECT label, url, first_id,
+         row_number() OVER (PARTITION BY label ORDER BY first_id DESC, url DESC) AS rn
+  FROM (SELECT label, url, min(id) AS first_id FROM srows GROUP BY label, url))
+WHERE rn <= {C.RECENT_PER_LABEL}""",
+          "T9,W3,A14,F13")
+def label_recent40_df(spark, sf_dir):
+    feed_posts = P.posts_from_events(tables.table(spark, sf_dir, "events"))
+    contents, model_row, dictionary = _static_inputs(spark, sf_dir)
+    rows = P.classification_pipeline(feed_posts, contents, model_row, dictionary)
+    firsts = rows.groupBy("label", "url").agg(F.min("id").alias("first_id"))
+    w_order = [F.desc("first_id"), F.desc("url")]
+    from pyspark.sql import Window
+    w = Window.partitionBy("label").orderBy(*w_order)
+    return (firsts.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= C.RECENT_PER_LABEL).drop("_rn"))
+
+
+@register("label_drilldown", STREAM_CTE + """
+SELECT label, count(DISTINCT url) AS n_images, count(*) AS n_lines FROM srows GROUP BY label""",
+          "F13,A14,A13")
+def label_drilldown_df(spark, sf_dir):
+    feed_posts = P.posts_from_events(tables.table(spark, sf_dir, "events"))
+    contents, model_row, dictionary = _static_inputs(spark, sf_dir)
+    rows = P.classification_pipeline(feed_posts, contents, model_row, dictionary)
+    return rows.groupBy("label").agg(F.count_distinct("url").alias("n_images"), F.count(F.lit(1)).alias("n_lines"))
+
+
+del T
