@@ -133,3 +133,68 @@ def raw_tag_lines_df(spark, sf_dir):
           "A4,O5,P4")
 def tags_per_image_df(spark, sf_dir):
     return T.tags_per_image(T.normalized_tags(standins.tag_lines(spark, sf_dir)))
+
+
+# ---- language identification and histogram (L1, X12, A2, J8, A12, X15) ----
+
+LANG_LINES_SQL = ("SELECT doc_id AS image, lang AS doc_lang, "
+                  "unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS label, "
+                  "generate_subscripts(string_split_regex(text, '\\r\\n|\\r|\\n'), 1) - 1 AS pos FROM documents")
+
+LANG_CTE = f"""WITH lines AS ({LANG_LINES_SQL}),
+tris AS (SELECT image, pos, doc_lang, substr(' ' || lower(label) || ' ', i, 3) AS tri
+         FROM lines, range(1, length(label) + 1) t(i) WHERE length(label) >= 1),
+counts AS (SELECT tri, doc_lang AS lang, count(*) AS c FROM tris GROUP BY tri, doc_lang),
+model AS (SELECT tri, lang, ln(c + 1.0) AS w FROM counts),
+vocab AS (SELECT count(DISTINCT tri) AS V FROM counts),
+totals AS (SELECT lang, sum(c) AS N FROM counts GROUP BY lang),
+priors AS (SELECT doc_lang AS lang, count(*) AS n_lines FROM lines GROUP BY doc_lang),
+langs AS (SELECT p.lang, ln(p.n_lines / (SELECT sum(n_lines) FROM priors)) AS prior,
+                 ln(coalesce(t.N, 0) + (SELECT V FROM vocab)) AS norm
+          FROM priors p LEFT JOIN totals t USING (lang)),
+seen AS (SELECT t.image, t.pos, m.lang, sum(m.w) AS seen FROM tris t JOIN model m USING (tri)
+         GROUP BY t.image, t.pos, m.lang),
+scored AS (SELECT l.image, l.pos, g.lang,
+                  round(g.prior - length(l.label) * g.norm + coalesce(s.seen, 0.0), 9) AS score
+           FROM lines l CROSS JOIN langs g
+           LEFT JOIN seen s ON s.image = l.image AND s.pos = l.pos AND s.lang = g.lang),
+best AS (SELECT image, pos, lang FROM (
+           SELECT *, row_number() OVER (PARTITION BY image, pos ORDER BY score DESC, lang) AS rn FROM scored)
+         WHERE rn = 1)"""
+
+
+def _language_lines(spark, sf_dir):
+    docs = tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return docs.select(F.col("doc_id").alias("image"), "lang",
+                       F.posexplode(F.split("text", T.LINE_BREAK)).alias("pos", "label"))
+
+
+def language_predictions(spark, sf_dir):
+    from ..operators import langid as L
+    lines = _language_lines(spark, sf_dir)
+    model, langs = L.train(lines.select("lang", "label"))
+    return L.predict(lines.select("image", "pos", "label"), model, langs, ["image", "pos"])
+
+
+@register("language_identify", LANG_CTE + "\nSELECT image, pos, lang FROM best", "L1,X12,V2")
+def language_identify_df(spark, sf_dir):
+    return language_predictions(spark, sf_dir).select("image", F.col("pos").cast("bigint").alias("pos"), "lang")
+
+
+def _names_sql() -> str:
+    return "(VALUES " + ", ".join(f"({S.q(c)}, {S.q(n)})" for c, n in C.LANGUAGE_NAMES) + ") AS names(code, name)"
+
+
+@register("language_histogram", LANG_CTE + f""",
+hist AS (SELECT lang AS idioma, count(*) AS count FROM best GROUP BY lang)
+SELECT h.idioma, h.count, names.name,
+       CASE WHEN max(h.count) OVER () = min(h.count) OVER () THEN 12.0
+            ELSE 12.0 + 88.0 * (h.count - min(h.count) OVER ()) / (max(h.count) OVER () - min(h.count) OVER ()) END AS size
+FROM hist h LEFT JOIN {_names_sql()} ON names.code = h.idioma""",
+          "A2,K5,S11,J8,A12,X15")
+def language_histogram_df(spark, sf_dir):
+    preds = language_predictions(spark, sf_dir)
+    hist = preds.groupBy(F.col("lang").alias("idioma")).agg(F.count(F.lit(1)).alias("count"))
+    names = spark.createDataFrame(C.LANGUAGE_NAMES, "code string, name string")
+    named = hist.join(F.broadcast(names), hist.idioma == names.code, "left").drop("code")
+    return T.rescaled_counts(named, "count", "size")
