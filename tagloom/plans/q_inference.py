@@ -230,3 +230,41 @@ def infer_tags_depth8_df(spark, sf_dir):
 @register("prediction_stats_depth8", None, "A9,M8 on depth-8 forests (rows only)")
 def prediction_stats_depth8_df(spark, sf_dir):
     return statistics(spark, sf_dir, direction_tags_to_labels, C.TREE_DEPTH)
+
+
+# ---- MLlib path (M5): one DecisionTreeClassifier per target, as the reference ----
+
+def mllib_predictions(spark, sf_dir, max_depth: int = C.TREE_DEPTH):
+    """CountVectorizer features over each image's tags, one Gini tree per
+    modelled label (labels read as a DataFrame, at most TOP_TAGS of them),
+    positive test predictions as (id, label).  Train/test are persisted once
+    for all fits instead of being recomputed per label."""
+    from pyspark import StorageLevel
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import CountVectorizer
+
+    tags, labels = tag_pairs(spark, sf_dir), model_pairs(spark, sf_dir)
+    per_image_tags = tags.groupBy("id").agg(F.array_sort(F.collect_set("label")).alias("labels"))
+    per_image_cls = labels.groupBy("id").agg(F.array_sort(F.collect_set("label")).alias("classification"))
+    joined = per_image_cls.join(per_image_tags, "id")
+    cv = CountVectorizer(inputCol="labels", outputCol="features", vocabSize=C.VOCAB_SIZE).fit(joined)
+    data = cv.transform(joined).select("id", "classification", "features", FE.is_train(F.col("id")).alias("train"))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = data.where("train"), data.where(~F.col("train"))
+    targets = [r["label"] for r in QS.label_top50_df(spark, sf_dir).select("label").limit(C.TOP_TAGS).collect()]
+    out = None
+    for target in targets:
+        y = F.array_contains("classification", target).cast("double")
+        dtc = DecisionTreeClassifier(labelCol="y", featuresCol="features", impurity="gini", maxDepth=max_depth, seed=7)
+        model = dtc.fit(train.withColumn("y", y))
+        pred = (model.transform(test).where(F.col("prediction") == 1.0)
+                .select("id", F.lit(target).alias("label")))
+        out = pred if out is None else out.unionByName(pred)
+    if out is None:
+        out = spark.createDataFrame([], "id bigint, label string")
+    return out
+
+
+@register("mllib_tree_predictions", None, "M5,M7,F6,U1,K9 (MLlib, rows only)")
+def mllib_tree_predictions_df(spark, sf_dir):
+    return mllib_predictions(spark, sf_dir)

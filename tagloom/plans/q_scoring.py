@@ -200,3 +200,56 @@ def dashboard_totals_df(spark, sf_dir):
         .join(top.withColumn("_k", F.lit(0)), "_k", "left")
     return out.select("n_original_tags", "n_images", "top_label",
                       F.format_number(F.col("n_original_tags"), 0).alias("n_original_tags_text"))
+
+
+# ---- Arrow-batched scorer (predict_batch_udf) --------------------------------
+
+def batch_scorer(model_df, batch_size: int = C.LOT_SIZE):
+    """``predict_batch_udf`` returning the class probabilities of a vector.
+
+    The centroids are a bounded model (classes x dim, checked) shipped inside
+    the loader closure, like a broadcast model file; scoring is vectorised
+    numpy over Arrow batches of ``batch_size`` rows (the reference's lots)."""
+    import numpy as np
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql import types as TT
+
+    row = SC.model_row(model_df).first()
+    classes = sorted(row["classes"], key=lambda c: c["node"])
+    centroids = np.array([c["centroid"] for c in classes], dtype=np.float64)
+
+    def make_predict_fn():
+        cents = centroids
+
+        def predict(x):
+            v = (x.astype(np.float64) - MEAN) / SCALE
+            d2 = ((v[:, None, :] - cents[None, :, :]) ** 2).sum(axis=2)
+            logits = -d2
+            logits -= logits.max(axis=1, keepdims=True)
+            e = np.exp(logits)
+            return e / e.sum(axis=1, keepdims=True)
+        return predict
+
+    nodes = [int(c["node"]) for c in classes]
+    udf = predict_batch_udf(make_predict_fn, return_type=TT.ArrayType(TT.DoubleType()),
+                            batch_size=batch_size, input_tensor_shapes=[[centroids.shape[1]]])
+    return udf, nodes
+
+
+@register("score_batch_udf",
+          "WITH " + SCORES_CTE.strip() + f"""
+SELECT 'im' || vec_id AS image, rank, label, round(prob, 6) AS score FROM named
+WHERE rank <= {C.MAX_SCORE_LABELS}""",
+          "M9,V3,S14,W1 (Arrow batches)")
+def score_batch_udf_df(spark, sf_dir):
+    emb = tables.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    udf, nodes = batch_scorer(model(spark, sf_dir))
+    node_arr = F.array(*[F.lit(n) for n in nodes])
+    probs = F.zip_with(node_arr, F.col("p"), lambda n, p: F.struct(n.alias("node"), p.alias("prob")))
+    scored = (emb.where(F.col("embedding").isNotNull()).withColumn("p", udf(F.col("embedding")))
+              .select("vec_id", F.posexplode(SC.top_k(probs, C.MAX_SCORE_LABELS)).alias("pos", "t"))
+              .select("vec_id", (F.col("pos") + 1).cast("bigint").alias("rank"), F.col("t.node").alias("node"),
+                      F.col("t.prob").alias("prob")))
+    named = SC.name_nodes(scored, dictionary(spark, sf_dir))
+    return named.select(F.concat(F.lit("im"), F.col("vec_id").cast("string")).alias("image"), "rank", "label",
+                        F.round("prob", 6).alias("score"))
