@@ -32,17 +32,29 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+_CONTROL_AND_SPACE = "".join(chr(i) for i in range(0x21))
+# Characters the fold can change besides letter case: anything outside ASCII,
+# plus the two ASCII modifier symbols '^' and '`'.
+_FOLD_CANDIDATE = "[^\\x00-\\x5D\\x5F\\x61-\\x7F]"
+
+
 def java_trim(c: Column) -> Column:
     """Strip every code point <= U+0020 from both ends (Java ``String.trim``)."""
-    return F.regexp_replace(c, "^[\\x00-\\x20]+|[\\x00-\\x20]+$", "")
+    return F.btrim(c, F.lit(_CONTROL_AND_SPACE))
 
 
 def fold(c: Column) -> Column:
     """trim, lower-case, canonical decomposition and removal of marks,
-    modifier letters and modifier symbols (accents, ``^``, `````, ``´``)."""
+    modifier letters and modifier symbols (accents, ``^``, `````, ``´``).
+
+    Pure-ASCII strings without '^' or '`' skip the translate table and the
+    mark-class scan (neither can change them)."""
     src, dst = C.accent_fold_table()
-    lowered = F.lower(java_trim(c))
-    return F.regexp_replace(F.translate(lowered, src, dst), _STRIP_CLASS, "")
+
+    def body(low):
+        return F.when(low.rlike(_FOLD_CANDIDATE),
+                      F.regexp_replace(F.translate(low, src, dst), _STRIP_CLASS, "")).otherwise(low)
+    return _let(F.lower(java_trim(c)), body)
 
 
 def _uncountable_pattern() -> str:
@@ -74,11 +86,23 @@ def _full(pattern: str) -> str:
     return "^(?:" + pattern + ")$"
 
 
+# Rules 1-10 of REWRITE_RULES cannot match a string without a digit, ':' or
+# ';' or 'canon'; rules 11-16 are anchored at the start and cheap to test.
+_REWRITE_GUARDED = 10
+_REWRITE_TRIGGER = "[0-9:;]|canon"
+
+
 def rewrite(c: Column) -> Column:
-    """First whole-string metadata rewrite that applies (or the input)."""
+    """First whole-string metadata rewrite that applies (or the input).
+
+    One find of ``_REWRITE_TRIGGER`` decides whether the ten unanchored
+    rules (each a full-string backtracking match) need testing at all."""
     def body(s):
+        return _let(s.rlike(_REWRITE_TRIGGER), lambda g: _rules(s, g))
+
+    def _rules(s, g):
         expr = None
-        for _, pattern, repl in C.REWRITE_RULES:
+        for i, (_, pattern, repl) in enumerate(C.REWRITE_RULES):
             full = _full(pattern)
             if repl == C.DOT_TO_SPACE:
                 value = F.translate(s, ".", " ")
@@ -87,6 +111,8 @@ def rewrite(c: Column) -> Column:
             else:
                 value = F.regexp_replace(s, full, repl)
             cond = s.rlike(full)
+            if i < _REWRITE_GUARDED:
+                cond = g & cond
             expr = F.when(cond, value) if expr is None else expr.when(cond, value)
         return expr.otherwise(s)
     return _let(c, body)

@@ -39,7 +39,9 @@ def train(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """lines (lang, label) -> (model (tri, lang, w = ln(c+1)), langs (lang, base))
     with base = ln P(lang) and norm = ln(N_lang + V)."""
     tris = _exploded(lines, ["lang"])
-    counts = tris.groupBy("tri", "lang").agg(F.count(F.lit(1)).alias("c"))
+    # The fitted counts (trigram vocabulary x languages) feed four branches;
+    # materialise them once, as a fitted model.
+    counts = tris.groupBy("tri", "lang").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
     model = counts.select("tri", "lang", F.log(F.col("c") + 1.0).alias("w"))
     vocab = counts.select("tri").distinct().agg(F.count(F.lit(1)).alias("V"))
     totals = counts.groupBy("lang").agg(F.sum("c").alias("N"))

@@ -9,7 +9,7 @@ Plan shape (one Catalyst plan per output):
           -> stop words -> distinct (image, token)
 
 The costly recursive tokeniser therefore runs once per distinct word, not per
-occurrence; (image, word) is computed once and its exchange is reused by both
+occurrence; (image, word) is materialised once (checkpoint) and read by both
 join branches.
 """
 
@@ -34,6 +34,11 @@ def tokenize_lines(lines: DataFrame) -> DataFrame:
     """(image, label) tag lines -> distinct (image, token), before stop words."""
     kids = (lines.select("image", F.explode(X.expand_strings(F.col("label"))).alias("word"))
             .distinct())
+    # Both branches below read (image, word); without a materialisation point
+    # Catalyst prunes them differently and the line-level expansion (the
+    # costliest regex work) would run twice.  A reliable checkpoint in the
+    # session's checkpoint folder computes it once and also cuts lineage.
+    kids = kids.checkpoint(eager=True)
     vocabulary = kids.select("word").distinct()
     word_tokens = vocabulary.select("word", F.explode(F.array_distinct(X.tokenize(F.col("word")))).alias("token"))
     return kids.join(word_tokens, "word").select("image", "token")

@@ -22,8 +22,14 @@ from .registry import register
 # ---- Spark side -------------------------------------------------------------
 
 
-def tag_pairs(spark, sf_dir):
-    tags = T.normalized_tags(standins.tag_lines(spark, sf_dir))
+def normalized_tags(spark, sf_dir):
+    """Processed tags, materialised once per query (the job reads them for
+    features, targets and statistics)."""
+    return T.normalized_tags(standins.tag_lines(spark, sf_dir)).checkpoint(eager=True)
+
+
+def tag_pairs(spark, sf_dir, tags=None):
+    tags = normalized_tags(spark, sf_dir) if tags is None else tags
     return tags.select(F.col("image").alias("id"), F.col("label_normalized").alias("label"))
 
 
@@ -47,15 +53,15 @@ def direction_tags_to_labels(spark, sf_dir):
 
 def direction_labels_to_tags(spark, sf_dir):
     """(features, targets, truth) with model scores as features, user tags as targets."""
-    tags = tag_pairs(spark, sf_dir)
+    processed = normalized_tags(spark, sf_dir)
+    tags = tag_pairs(spark, sf_dir, processed)
     scores = QS.classification(spark, sf_dir)
     labels = scores.select(X.image_number(F.col("image")).alias("id"), "label")
     ids = FE.common_ids(labels, tags)
     feats = (QS.score_features(scores)
              .select(F.col("imagen").alias("id"), F.col("idx").alias("f"), F.col("score").alias("v"))
              .join(ids, "id", "left_semi"))
-    top = T.top_tags(T.tag_counts(T.normalized_tags(standins.tag_lines(spark, sf_dir)))) \
-        .select(F.col("label_normalized").alias("label"))
+    top = T.top_tags(T.tag_counts(processed)).select(F.col("label_normalized").alias("label"))
     return feats, FE.targets_table(ids, tags, top), tags, None, ids
 
 
