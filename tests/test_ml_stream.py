@@ -130,3 +130,39 @@ def test_entry_contract(spark):
     df = mod.entry(spark)
     assert df.count() > 0 and df.columns == ["label_normalized", "tag_count"]
     assert set(mod.oracle_sql()) <= set(mod.queries())
+
+
+def test_tag_analysis_job_writes_all_outputs(spark):
+    from tagloom.plans import jobs
+    from tagloom.plans import q_scoring as QS
+    from tagloom.session import scratch_path
+    from tagloom.sources import standins, tables
+
+    lines = standins.tag_lines(spark, SF_SMOKE)
+    docs = tables.table(spark, SF_SMOKE, "documents")
+    lang_lines = docs.select("lang", F.explode(F.split("text", "\\n")).alias("label"))
+    out = scratch_path(spark, "job")
+    paths = jobs.tag_analysis_job(spark, lines, QS.classification(spark, SF_SMOKE), out, lang_lines)
+    assert len(paths) == 10
+    top = [r.value for r in spark.read.text(paths["common_tags"]).collect()]
+    expected = [r.label_normalized for r in QS.T.top_tags(QS.T.tag_counts(QS.T.normalized_tags(lines))).collect()]
+    assert sorted(top) == sorted(expected) and len(top) == C.TOP_TAGS
+    counts = tables.read_delimited(spark, paths["tag_analysis"], tables.LABEL_COUNT_SCHEMA, "~")
+    assert counts.count() == spark.read.text(paths["all_tags"]).count()
+    assert spark.read.text(paths["languages"]).count() >= 1
+
+
+def test_inference_job(spark):
+    from tagloom.plans import jobs
+    from tagloom.plans import q_inference as QI
+    from tagloom.session import scratch_path
+    from tagloom.sources import tables
+
+    feats = QI.tag_pairs(spark, SF_SMOKE)
+    targets = QI.model_pairs(spark, SF_SMOKE)
+    labels = targets.where(F.col("label") != C.NONE_LABEL).select("label").distinct()
+    out = scratch_path(spark, "inference")
+    pred_path, stats_path = jobs.inference_job(spark, feats, targets, labels, out, True, depth=2)
+    stats = tables.read_json_lines(spark, stats_path, tables.STATS_SCHEMA).collect()
+    assert all(r.aciertos <= min(r.num_images, r.num_predicciones) for r in stats)
+    assert tables.read_pairs(spark, pred_path).count() >= 0
