@@ -54,19 +54,31 @@ def train(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return model, langs
 
 
+MAX_LANGUAGES = 500
+
+
 def predict(lines: DataFrame, model: DataFrame, langs: DataFrame, key_cols: list[str]) -> DataFrame:
-    """(key..., lang) most probable language of every line."""
-    m = model if model.count() > MAX_BROADCAST_MODEL_ROWS else F.broadcast(model)
+    """(key..., lang) most probable language of every line.
+
+    The model is pivoted to one row per trigram with one weight column per
+    language (the language list is counted first and bounded), so the join
+    keeps one row per trigram occurrence and each line aggregates to a single
+    row of per-language sums."""
+    lang_rows = langs.orderBy("lang").collect()
+    if len(lang_rows) > MAX_LANGUAGES:
+        raise ValueError(f"too many languages: {len(lang_rows)}")
+    codes = [r["lang"] for r in lang_rows]
+    wide = model.groupBy("tri").pivot("lang", codes).agg(F.first("w"))
+    wide = wide.toDF("tri", *[f"w{i}" for i in range(len(codes))])
+    m = wide if wide.count() > MAX_BROADCAST_MODEL_ROWS else F.broadcast(wide)
     tris = _exploded(lines, key_cols)
-    seen = tris.join(m, "tri").groupBy(*key_cols, "lang").agg(F.sum("w").alias("seen"))
-    sizes = lines.select(*key_cols, F.greatest(F.length("label"), F.lit(0)).alias("T"))
-    lang_row = langs.agg(F.collect_list(F.struct("lang", "prior", "norm")).alias("_langs")).withColumn("_k", F.lit(0))
-    per_lang = (sizes.withColumn("_k", F.lit(0)).join(F.broadcast(lang_row), "_k")
-                .select(*key_cols, "T", F.explode("_langs").alias("l"))
-                .select(*key_cols, "T", F.col("l.lang").alias("lang"), F.col("l.prior").alias("prior"),
-                        F.col("l.norm").alias("norm")))
-    scored = (per_lang.join(seen, [*key_cols, "lang"], "left")
-              .withColumn("score", F.round(F.col("prior") - F.col("T") * F.col("norm")
-                                           + F.coalesce("seen", F.lit(0.0)), SCORE_DECIMALS)))
-    best = scored.groupBy(*key_cols).agg(F.min(F.struct((-F.col("score")).alias("neg"), "lang")).alias("b"))
-    return best.select(*key_cols, F.col("b.lang").alias("lang"))
+    seen = (tris.join(m, "tri")
+            .groupBy(*key_cols).agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in range(len(codes))]))
+    sizes = lines.select(*key_cols, F.length("label").alias("T"))
+    scored = sizes.join(seen, key_cols, "left")
+    cands = F.array(*[
+        F.struct((-F.round(F.lit(r["prior"]) - F.col("T") * F.lit(r["norm"])
+                           + F.coalesce(F.col(f"s{i}"), F.lit(0.0)), SCORE_DECIMALS)).alias("neg"),
+                 F.lit(r["lang"]).alias("lang"))
+        for i, r in enumerate(lang_rows)])
+    return scored.select(*key_cols, F.array_min(cands)["lang"].alias("lang"))

@@ -2,7 +2,8 @@
 
 Plan shape (one Catalyst plan per output):
 
-    lines -> expand each line once (per row, no shuffle)
+    lines -> expand each line once: short lines once per distinct line
+             (joined back), long lines in place (no shuffle)
           -> distinct (image, word)            [shuffle 1, map-side partial]
           -> distinct word -> tokenize(word)   [shuffle 2, only the vocabulary]
           -> join back on word                 [shuffle 3; AQE splits hot words]
@@ -30,10 +31,26 @@ def lines_from_text(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("image"), F.explode(F.split(F.col(text), LINE_BREAK)).alias("label"))
 
 
+# Lines up to this length are expanded once per distinct line (tags repeat a
+# lot and are cheap to shuffle); longer lines (prose, mostly unique) are
+# expanded in place, where a dedupe would only add a shuffle of the text.
+DEDUP_MAX_LEN = 64
+
+
+def line_words(lines: DataFrame, dedup_max_len: int = DEDUP_MAX_LEN) -> DataFrame:
+    """(image, word): children of the first recursion step of every line."""
+    short = lines.where(F.length("label") <= dedup_max_len)
+    long = lines.where(~(F.length("label") <= dedup_max_len) | F.col("label").isNull())
+    expanded = (short.select("label").distinct()
+                .select("label", F.explode(X.expand_strings(F.col("label"))).alias("word")))
+    short_words = short.join(expanded, "label").select("image", "word")
+    long_words = long.select("image", F.explode(X.expand_strings(F.col("label"))).alias("word"))
+    return short_words.unionByName(long_words)
+
+
 def tokenize_lines(lines: DataFrame) -> DataFrame:
     """(image, label) tag lines -> distinct (image, token), before stop words."""
-    kids = (lines.select("image", F.explode(X.expand_strings(F.col("label"))).alias("word"))
-            .distinct())
+    kids = line_words(lines).distinct()
     # Both branches below read (image, word); without a materialisation point
     # Catalyst prunes them differently and the line-level expansion (the
     # costliest regex work) would run twice.  A reliable checkpoint in the
