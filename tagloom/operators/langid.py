@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 MAX_BROADCAST_MODEL_ROWS = 5_000_000
 SCORE_DECIMALS = 9
 
@@ -41,7 +43,8 @@ def train(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     tris = _exploded(lines, ["lang"])
     # The fitted counts (trigram vocabulary x languages) feed four branches;
     # materialise them once, as a fitted model.
-    counts = tris.groupBy("tri", "lang").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+    counts = tris.groupBy("tri", "lang").agg(F.count(F.lit(1)).alias("c"))
+    counts = materialize(counts, "trigram-counts")
     model = counts.select("tri", "lang", F.log(F.col("c") + 1.0).alias("w"))
     vocab = counts.select("tri").distinct().agg(F.count(F.lit(1)).alias("V"))
     totals = counts.groupBy("lang").agg(F.sum("c").alias("N"))

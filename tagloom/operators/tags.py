@@ -22,6 +22,7 @@ from pyspark.sql import Window
 
 from ..functions import constants as C
 from ..functions import text as X
+from ..session import materialize
 
 LINE_BREAK = "\\r\\n|\\r|\\n"
 
@@ -53,9 +54,9 @@ def tokenize_lines(lines: DataFrame) -> DataFrame:
     kids = line_words(lines).distinct()
     # Both branches below read (image, word); without a materialisation point
     # Catalyst prunes them differently and the line-level expansion (the
-    # costliest regex work) would run twice.  A reliable checkpoint in the
+    # costliest regex work) would run twice.  A table written to the
     # session's checkpoint folder computes it once and also cuts lineage.
-    kids = kids.checkpoint(eager=True)
+    kids = materialize(kids, "image-words")
     vocabulary = kids.select("word").distinct()
     word_tokens = vocabulary.select("word", F.explode(F.array_distinct(X.tokenize(F.col("word")))).alias("token"))
     return kids.join(word_tokens, "word").select("image", "token")

@@ -17,7 +17,7 @@ target):
 
 Leaves predict the majority class of their training rows (ties -> 0), which
 matches MLlib's predictions (its post-merge of equal sibling leaves does not
-change any prediction).  Each level's assignment table is checkpointed to the
+change any prediction).  Each level's assignment table is written as a table to the
 session's checkpoint folder so lineage stays flat and lost executors only
 recompute one level.
 """
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
+from ..session import materialize
 
 BINARY_THRESHOLDS = [0.5]
 SCORE_THRESHOLDS = [round(i / 20, 2) for i in range(1, 20)]
@@ -86,8 +87,8 @@ def best_splits(assign: DataFrame, features: DataFrame, thresholds: list[float],
 
 
 def _materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the session's checkpoint folder."""
-    return df.checkpoint(eager=True)
+    """Cut lineage: a table written to the session's checkpoint folder."""
+    return materialize(df, "forest")
 
 
 def train_and_assign(targets: DataFrame, features: DataFrame, thresholds: list[float],

@@ -13,6 +13,7 @@ from ..functions import text as X
 from ..operators import features as FE
 from ..operators import tags as T
 from ..operators import trees as TR
+from ..session import materialize
 from ..sources import standins
 from . import q_scoring as QS
 from . import sql_text as S
@@ -25,7 +26,7 @@ from .registry import register
 def normalized_tags(spark, sf_dir):
     """Processed tags, materialised once per query (the job reads them for
     features, targets and statistics)."""
-    return T.normalized_tags(standins.tag_lines(spark, sf_dir)).checkpoint(eager=True)
+    return materialize(T.normalized_tags(standins.tag_lines(spark, sf_dir)), "processed-tags")
 
 
 def tag_pairs(spark, sf_dir, tags=None):

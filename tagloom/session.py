@@ -59,3 +59,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (for written tables)."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tagloom-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint into
+    the shared checkpoint folder (never ``localCheckpoint``): later stages and
+    every branch that reads it start from the stored partitions, and a lost
+    executor does not force recomputation of the upstream plan.  ``name``
+    labels the intent in code; Spark names the files."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
