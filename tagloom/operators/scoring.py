@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..functions.text import _let
+from ..session import materialize
 
 # Broadcast guard: largest model (classes x dimensions) shipped to executors.
 MAX_MODEL_CELLS = 4_000_000
@@ -42,14 +43,16 @@ def centroid_model(vectors: DataFrame, vec: str = "embedding", label: str = "lab
 
 
 def model_row(model: DataFrame) -> DataFrame:
-    """The whole model as one row ``(_k, classes, dim)`` after a size check."""
-    stats = model.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("centroid")).alias("d")).first()
-    cells = int(stats["n"] or 0) * int(stats["d"] or 0)
+    """The whole model as one row ``(_k, classes, dim)``, computed once and
+    size-checked before anything broadcasts it."""
+    row = materialize(model.agg(F.array_sort(F.collect_list(F.struct("node", "centroid"))).alias("classes"),
+                                F.max(F.size("centroid")).alias("dim"),
+                                F.count(F.lit(1)).alias("n_classes")), "model")
+    stats = row.first()
+    cells = int(stats["n_classes"] or 0) * int(stats["dim"] or 0)
     if cells > MAX_MODEL_CELLS:
         raise ValueError(f"model too large to broadcast: {cells} cells")
-    return (model.agg(F.array_sort(F.collect_list(F.struct("node", "centroid"))).alias("classes"),
-                      F.max(F.size("centroid")).alias("dim"))
-            .withColumn("_k", F.lit(0)))
+    return row.select("classes", "dim").withColumn("_k", F.lit(0))
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_DICTIONARY_ROWS) -> DataFrame:

@@ -41,14 +41,27 @@ def model_pairs(spark, sf_dir, keep_sentinel: bool = True):
     return c.select(X.image_number(F.col("image")).alias("id"), "label")
 
 
+def scores_once(spark, sf_dir):
+    """Page classification, materialised once per query (truth, target list
+    and features all read it)."""
+    return materialize(QS.classification(spark, sf_dir), "scores")
+
+
+def top_model_labels(scores):
+    counts = scores.where(F.col("label") != C.NONE_LABEL).groupBy("label").agg(F.count(F.lit(1)).alias("count"))
+    return T.top_tags(counts, label="label", count="count", n=C.TOP_TAGS, prefilter=C.TOP_TAGS, exclude=None)
+
+
 def direction_tags_to_labels(spark, sf_dir):
     """(features, targets, truth) with user tags as features, model labels as targets."""
-    tags, labels = tag_pairs(spark, sf_dir), model_pairs(spark, sf_dir)
+    scores = scores_once(spark, sf_dir)
+    tags = tag_pairs(spark, sf_dir)
+    labels = scores.select(X.image_number(F.col("image")).alias("id"), "label")
     ids = FE.common_ids(labels, tags)
     tags_j = tags.join(ids, "id", "left_semi")
     vocab = FE.term_vocabulary(tags_j)
     feats = FE.bag_of_words(tags_j, vocab)
-    top = QS.label_top50_df(spark, sf_dir).select("label")
+    top = top_model_labels(scores).select("label")
     return feats, FE.targets_table(ids, labels, top), labels, vocab, ids
 
 
@@ -56,7 +69,7 @@ def direction_labels_to_tags(spark, sf_dir):
     """(features, targets, truth) with model scores as features, user tags as targets."""
     processed = normalized_tags(spark, sf_dir)
     tags = tag_pairs(spark, sf_dir, processed)
-    scores = QS.classification(spark, sf_dir)
+    scores = scores_once(spark, sf_dir)
     labels = scores.select(X.image_number(F.col("image")).alias("id"), "label")
     ids = FE.common_ids(labels, tags)
     feats = (QS.score_features(scores)
