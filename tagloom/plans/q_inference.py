@@ -204,12 +204,12 @@ def one_vs_rest_df(spark, sf_dir):
     return targets
 
 
-@register("infer_labels_from_tags", A_CTE + "\nSELECT id, label FROM a_pred", "J1,M6,M7,F6,P10,U1 (depth 1)")
+@register("infer_labels_from_tags", A_CTE + "\nSELECT id, label FROM a_pred", "J1,M6,A16,M7,F6,P10,U1 (depth 1)")
 def infer_labels_from_tags_df(spark, sf_dir):
     return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_tags_to_labels, 1))
 
 
-@register("infer_tags_from_labels", B_CTE + "\nSELECT id, label FROM b_pred", "J2,M2,M6,M7,F6,U1 (depth 1)")
+@register("infer_tags_from_labels", B_CTE + "\nSELECT id, label FROM b_pred", "J2,M2,M6,A16,M7,F6,U1 (depth 1)")
 def infer_tags_from_labels_df(spark, sf_dir):
     return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_labels_to_tags, 1))
 

@@ -53,7 +53,8 @@ def _run_classification(spark, sf_dir) -> str:
     contents, model_row, dictionary = _static_inputs(spark, sf_dir)
     out = scratch_path(spark, "stream-lines")
     P.run_classification_stream(spark, feed, contents, model_row, dictionary, out,
-                                scratch_path(spark, "stream-ckpt"))
+                                scratch_path(spark, "stream-ckpt"),
+                                scoring_partitions=spark.sparkContext.defaultParallelism)
     return out
 
 
@@ -70,7 +71,7 @@ def stream_photo_urls_df(spark, sf_dir):
 
 
 @register("stream_classification", STREAM_CTE + "\nSELECT url, label, pct FROM lines",
-          "S7,T4,T5,T6,F11,P9,M10,X13,K7,S9,T10")
+          "S7,T4,T5,T6,T7,F11,P9,M10,X13,K7,S9,T10")
 def stream_classification_df(spark, sf_dir):
     out = _run_classification(spark, sf_dir)
     return P.parse_lines(spark.read.schema("value string").text(out))

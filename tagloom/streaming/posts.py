@@ -116,10 +116,19 @@ def classification_pipeline(posts: DataFrame, contents: DataFrame, model_row: Da
 
 def run_classification_stream(spark: SparkSession, posts_dir: str, contents: DataFrame, model_row: DataFrame,
                               dictionary: DataFrame, out_dir: str, checkpoint: str,
-                              keyword: str | None = "photo", files_per_trigger: int = 8):
-    """Posts folder -> 'url|label|pct' text lines appended to ``out_dir``."""
+                              keyword: str | None = "photo", files_per_trigger: int = 8,
+                              scoring_partitions: int | None = None):
+    """Posts folder -> 'url|label|pct' text lines appended to ``out_dir``.
+
+    ``scoring_partitions`` spreads the URL rows over that many tasks before
+    the content join and scoring (the costly stage), like the reference's
+    per-stage parallelism; by default the source partitioning is kept."""
     posts = spark.readStream.schema(POST_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).json(posts_dir)
-    rows = classification_pipeline(posts, contents, model_row, dictionary, keyword)
+    if scoring_partitions:
+        urls = photo_urls(keyword_filter(posts, keyword)).repartition(scoring_partitions)
+        rows = classify_rows(with_content(urls, contents), model_row, dictionary)
+    else:
+        rows = classification_pipeline(posts, contents, model_row, dictionary, keyword)
     lines = rows.select(X.classification_line(F.col("url"), F.col("label"), F.col("prob")).alias("value"))
     query = (lines.writeStream.format("text").outputMode("append")
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_dir))
