@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, spread
 
 MAX_BROADCAST_MODEL_ROWS = 5_000_000
 SCORE_DECIMALS = 9
@@ -33,7 +33,7 @@ def trigrams(text) -> F.Column:
 
 def _exploded(lines: DataFrame, key_cols: list[str]) -> DataFrame:
     s_len = F.length(F.col("label")) + 2
-    return (lines.where(s_len >= 3)
+    return (spread(lines.where(s_len >= 3), only_if_narrow=True)
             .select(*key_cols, F.explode(trigrams(F.col("label"))).alias("tri")))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Window
 
 from ..functions import constants as C
 from ..functions import text as X
-from ..session import materialize
+from ..session import materialize, spread
 
 LINE_BREAK = "\\r\\n|\\r|\\n"
 
@@ -41,7 +41,10 @@ DEDUP_MAX_LEN = 64
 def line_words(lines: DataFrame, dedup_max_len: int = DEDUP_MAX_LEN) -> DataFrame:
     """(image, word): children of the first recursion step of every line."""
     short = lines.where(F.length("label") <= dedup_max_len)
-    long = lines.where(~(F.length("label") <= dedup_max_len) | F.col("label").isNull())
+    # The short branch is spread by the shuffle of its distinct; the long one
+    # is expanded where it is read, so a narrow input is redistributed first.
+    long = spread(lines.where(~(F.length("label") <= dedup_max_len) | F.col("label").isNull()),
+                  only_if_narrow=True)
     expanded = (short.select("label").distinct()
                 .select("label", F.explode(X.expand_strings(F.col("label"))).alias("word")))
     short_words = short.join(expanded, "label").select("image", "word")
@@ -57,7 +60,9 @@ def tokenize_lines(lines: DataFrame) -> DataFrame:
     # costliest regex work) would run twice.  A table written to the
     # session's checkpoint folder computes it once and also cuts lineage.
     kids = materialize(kids, "image-words")
-    vocabulary = kids.select("word").distinct()
+    # The vocabulary is small in bytes but costly per row; AQE would coalesce
+    # it by size into few tasks, so spread it over the full width first.
+    vocabulary = spread(kids.select("word").distinct())
     word_tokens = vocabulary.select("word", F.explode(F.array_distinct(X.tokenize(F.col("word")))).alias("token"))
     return kids.join(word_tokens, "word").select("image", "token")
 
