@@ -43,16 +43,19 @@ def centroid_model(vectors: DataFrame, vec: str = "embedding", label: str = "lab
 
 
 def model_row(model: DataFrame) -> DataFrame:
-    """The whole model as one row ``(_k, classes, dim)``, computed once and
-    size-checked before anything broadcasts it."""
-    row = materialize(model.agg(F.array_sort(F.collect_list(F.struct("node", "centroid"))).alias("classes"),
-                                F.max(F.size("centroid")).alias("dim"),
-                                F.count(F.lit(1)).alias("n_classes")), "model")
-    stats = row.first()
+    """The whole model as one row ``(_k, classes, dim)``.  The per-class table
+    is computed once (checkpoint) and its size -- classes x dim -- is checked
+    with a plain aggregate before anything is gathered into one row or
+    broadcast."""
+    model = materialize(model, "model")
+    stats = model.agg(F.count(F.lit(1)).alias("n_classes"), F.max(F.size("centroid")).alias("dim")).first()
     cells = int(stats["n_classes"] or 0) * int(stats["dim"] or 0)
     if cells > MAX_MODEL_CELLS:
         raise ValueError(f"model too large to broadcast: {cells} cells")
-    return row.select("classes", "dim").withColumn("_k", F.lit(0))
+    row = model.agg(F.array_sort(F.collect_list(F.struct("node", "centroid"))).alias("classes"),
+                    F.max(F.size("centroid")).alias("dim"))
+    # Stored once: every batch of the stream and every branch broadcasts it.
+    return materialize(row, "model-row").withColumn("_k", F.lit(0))
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_DICTIONARY_ROWS) -> DataFrame:
