@@ -67,7 +67,9 @@ def predict(lines: DataFrame, model: DataFrame, langs: DataFrame, key_cols: list
     language (the language list is counted first and bounded), so the join
     keeps one row per trigram occurrence and each line aggregates to a single
     row of per-language sums."""
-    lang_rows = langs.orderBy("lang").collect()
+    # At most MAX_LANGUAGES + 1 rows reach the driver: enough to refuse an
+    # unbounded language set without gathering it.
+    lang_rows = langs.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(lang_rows) > MAX_LANGUAGES:
         raise ValueError(f"too many languages: {len(lang_rows)}")
     codes = [r["lang"] for r in lang_rows]
