@@ -40,12 +40,15 @@ DEDUP_MAX_LEN = 64
 
 def line_words(lines: DataFrame, dedup_max_len: int = DEDUP_MAX_LEN) -> DataFrame:
     """(image, word): children of the first recursion step of every line."""
-    short = lines.where(F.length("label") <= dedup_max_len)
-    # The short branch is spread by the shuffle of its distinct; the long one
-    # is expanded where it is read, so a narrow input is redistributed first.
+    # A narrow input (few file splits) is redistributed before the per-row
+    # work: the long lines are expanded where they are read and the short
+    # ones probe the expanded set where they are read.
+    short = spread(lines.where(F.length("label") <= dedup_max_len), only_if_narrow=True)
     long = spread(lines.where(~(F.length("label") <= dedup_max_len) | F.col("label").isNull()),
                   only_if_narrow=True)
-    expanded = (short.select("label").distinct()
+    # The distinct short lines are few bytes but costly per row; AQE would
+    # coalesce them by size into a few tasks, so they are spread first.
+    expanded = (spread(short.select("label").distinct())
                 .select("label", F.explode(X.expand_strings(F.col("label"))).alias("word")))
     short_words = short.join(expanded, "label").select("image", "word")
     long_words = long.select("image", F.explode(X.expand_strings(F.col("label"))).alias("word"))
