@@ -99,3 +99,16 @@ def test_scalar_helpers(spark):
     ).first()
     assert row.k == "123" and row.n == 999 and row.b == "im7"
     assert row.line == "u|cat|12.35" and row.rate == 66.67 and row.flat == 12.0
+
+
+def test_spread_keeps_wide_inputs_and_all_rows(spark):
+    from tagloom.session import spread
+    width = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 1000, numPartitions=1)
+    wide = spark.range(0, 1000, numPartitions=width)
+    # A wide scan is left as it is (no shuffle of the raw rows) ...
+    assert spread(wide, only_if_narrow=True).rdd.getNumPartitions() == width
+    # ... a narrow one, and any set spread unconditionally, gets the full width.
+    assert spread(narrow, only_if_narrow=True).rdd.getNumPartitions() >= width
+    assert spread(narrow).rdd.getNumPartitions() >= width
+    assert sorted(r.id for r in spread(narrow, only_if_narrow=True).collect()) == list(range(1000))
