@@ -1,18 +1,14 @@
 """Fixed values the results depend on.
 
 Everything in the FIXED VALUES block must stay exactly as written: the expected
-outputs are defined in terms of these lists.  Larger tables (the accent-folding
-map, the English stop words) are derived at import time from a rule or from the
-resource Spark itself ships, never typed in.
+outputs are defined in terms of these lists.  The accent-folding map is derived
+from a rule, never typed in.  Nothing is read from disk.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
-import os
 import unicodedata
-import zipfile
 
 # --------------------------------------------------------------------------
 # FIXED VALUES
@@ -99,6 +95,21 @@ SINGULAR_RULES = [
     (r"s$", ""),
 ]
 
+# English stop words (Spark ML's published default list), removed from tags.
+ENGLISH_STOP_WORDS = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her "
+    "hers herself it its itself they them their theirs themselves what which who whom this that these "
+    "those am is are was were be been being have has had having do does did doing a an the and but if or "
+    "because as until while of at by for with about against between into through during before after "
+    "above below to from up down in out on off over under again further then once here there when where "
+    "why how all any both each few more most other some such no nor not only own same so than too very s "
+    "t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd "
+    "they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't "
+    "weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't "
+    "couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's "
+    "would"
+).split()
+
 # Language code -> display name shown by the language histogram.
 LANGUAGE_NAMES = [
     ("af", "Afrikáans"), ("am", "Amhárico"), ("an", "Aragonés"), ("ar", "Árabe"),
@@ -175,18 +186,3 @@ def accent_fold_table() -> tuple[str, str]:
         elif not kept:
             deleted.append(ch)
     return "".join(src) + "".join(deleted), "".join(dst)
-
-
-@functools.lru_cache(maxsize=1)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop words, read from the resource Spark ships."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as zf:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in zf.namelist():
-                words = zf.read(name).decode("utf-8").split("\n")
-                return tuple(w.strip() for w in words if w.strip())
-    raise RuntimeError("Spark ML stop-word resource not found")

@@ -198,7 +198,7 @@ def tokenize_state(x: Column) -> Column:
 
 def not_stop_word(token: Column) -> Column:
     """English stop-word test, case-insensitive (hash set lookup)."""
-    return ~F.lower(token).isin(list(C.english_stop_words()))
+    return ~F.lower(token).isin(C.ENGLISH_STOP_WORDS)
 
 
 # ---- keys, formats and small scalar helpers --------------------------------

@@ -77,7 +77,7 @@ def rewrite_split(x: str) -> str:
 
 
 def stop_words_list() -> str:
-    return "[" + ", ".join(q(w) for w in C.english_stop_words()) + "]"
+    return "[" + ", ".join(q(w) for w in C.ENGLISH_STOP_WORDS) + "]"
 
 
 def tokens_cte(lines_sql: str) -> str:
