@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import WORD, is_blank, lines, words
+from .words import lines, words
 
 # Fixed values of the rules.
 SYMBOLS = "[#*$%&|<>]"
@@ -75,16 +75,17 @@ def _repeat_words(hashes: Column) -> Column:
 def measured(docs: DataFrame) -> DataFrame:
     """``doc`` (the row as it came) and its measures, verdict and kept lines."""
     text = F.col("doc.text")
-    split = docs.select(F.struct("*").alias("doc")).select("doc", words(text).alias("w"), lines(text).alias("ls"))
+    split = (docs.select(F.struct("*").alias("doc")).select("doc", lines(text).alias("ls"))
+             .select("doc", "ls", F.transform("ls", words).alias("lw"))
+             .select("doc", "ls", F.transform("lw", F.size).alias("line_words"), F.flatten("lw").alias("w")))
     hashed = split.select(
-        "doc", "ls", F.size("w").cast("bigint").alias("n_words"),
+        "doc", "ls", "line_words", F.size("w").cast("bigint").alias("n_words"),
         F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
         F.when(F.size("w") >= WINDOW,
                F.transform(F.sequence(F.lit(1), F.size("w") - WINDOW + 1),
                            lambda i: F.xxhash64(F.slice(F.col("w"), i, F.lit(WINDOW)))))
         .otherwise(F.array().cast("array<bigint>")).alias("hashes"),
-        F.filter("ls", lambda s: ~is_blank(s)).alias("full"),
-        F.transform("ls", lambda s: F.regexp_count(s, F.lit(WORD))).alias("line_words"))
+        F.filter("ls", lambda s, i: F.get("line_words", i) > 0).alias("full"))
     judged = hashed.select(
         "doc", "n_words", "word_chars",
         F.coalesce(F.regexp_count(text, F.lit(SYMBOLS)), F.lit(0)).cast("bigint").alias("n_symbols"),

@@ -2,8 +2,25 @@
 
 from __future__ import annotations
 
+from ..session import scratch_path
 from ..sources.tables import table
-from . import line_dedup, mixing, quality_rules, url_filter
+from . import language_id, line_dedup, mixing, quality_rules, token_count, url_filter
+
+
+def tokenizer_file(name: str) -> str:
+    """Path of a public vocabulary file (a parameter of the operators)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def languages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
+def token_counts(spark, sf_dir):
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                                    scratch_path(spark, "token-counts"))
 
 
 def quality(spark, sf_dir):
@@ -23,6 +40,8 @@ def mixture(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_language_id": languages,
+    "op7_token_counts": token_counts,
     "op3_quality_rules": quality,
     "op8_url_filters": url_filters,
     "op9_line_dedup": line_dedups,
