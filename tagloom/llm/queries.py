@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import language_id, line_dedup, mixing, quality_rules, token_count, url_filter
+from . import language_id, line_dedup, mixing, packing, quality_rules, token_count, url_filter
 
 
 def tokenizer_file(name: str) -> str:
@@ -18,6 +18,10 @@ def languages(spark, sf_dir):
     return language_id.identify(docs, language_id.train(docs))
 
 
+def packs(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def token_counts(spark, sf_dir):
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
                                     scratch_path(spark, "token-counts"))
@@ -41,6 +45,7 @@ def mixture(spark, sf_dir):
 
 QUERIES = {
     "op2_language_id": languages,
+    "op4_packing": packs,
     "op7_token_counts": token_counts,
     "op3_quality_rules": quality,
     "op8_url_filters": url_filters,
