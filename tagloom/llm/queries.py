@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import language_id, line_dedup, mixing, packing, quality_rules, token_count, url_filter
+from . import language_id, line_dedup, mixing, near_dedup, packing, quality_rules, token_count, url_filter
 
 
 def tokenizer_file(name: str) -> str:
@@ -13,6 +13,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def near_duplicates(spark, sf_dir):
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def languages(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.train(docs))
@@ -44,6 +48,7 @@ def mixture(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_near_dedup": near_duplicates,
     "op2_language_id": languages,
     "op4_packing": packs,
     "op7_token_counts": token_counts,
