@@ -15,17 +15,16 @@ or more, and a class is a connected component of links.
 3. Banding.  Nodes that agree on all ``ROWS`` registers of one of ``BANDS``
    bands share a bucket (a similar pair misses all with a chance of 5e-5 at
    0.8, less above).
-4. Verification in rounds.  Each bucket with two or more components names
-   leaders, those of the smallest components first; a leader's similarity to
-   every member of another component is computed exactly from the shingles,
-   and then it leaves the bucket.  Links join components, and members of one
-   component need no comparison.  The rounds end when no bucket has two
-   components, so every pair of a bucket was compared or is joined already:
-   no link between components is lost, and a group of many copies costs a
-   comparison per member instead of all pairs.  Pairs are compared once.
-
-All groups are aggregated before they are shuffled and joined back, so a
-bucket or a class of any size never meets in one task.
+4. Verification.  Each bucket names a leader, whose similarity to every member
+   is computed exactly from the shingles; links join components.  Buckets that
+   still have two components or more are then compared in blocks: of each pair
+   of blocks, all members of different components, again exactly.  So every
+   pair of a bucket was compared or is joined already and no link between
+   components is lost, while a group of copies mostly costs a comparison per
+   member, and no pair leaves a task unless it is a link that joins components.
+
+Buckets are aggregated before they are shuffled and joined back, or cut into
+blocks, so a bucket or a class of any size never meets in one task.
 
 Defined results: a text without a word (null, empty, blank) is in a class of
 its own; rows without an id have no class; rows that share an id are one
@@ -37,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
@@ -47,7 +46,8 @@ from .shingles import digest, mix, shingled
 REGISTERS = 128
 BANDS, ROWS = 25, 5
 LEVEL = 0.8
-LEADERS = 8
+BLOCK = 256
+COLUMNS = 4096
 _POINTS = 1024
 
 
@@ -132,31 +132,87 @@ def _order(node):
     return F.xxhash64(F.lit(1), node)
 
 
-def _candidates(active: DataFrame, n_leaders: int) -> tuple[DataFrame, DataFrame]:
-    """active (bucket, node, root) -> (pairs p < q, active without leaders).
-    Buckets of one component are dropped."""
-    parts = active.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("bucket")
-    members = active.join(mixed, "bucket").join(parts, ["bucket", "root"])
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("n", _order(F.col("node")), "node"))
-    ranked = members.withColumn("rank", rank).where(F.col("rank") <= n_leaders)
-    leaders = materialize(ranked.select("bucket", F.col("node").alias("leader"), F.col("root").alias("leader_root")), "leaders")
-    pairs = (members.join(leaders, "bucket").where("root <> leader_root")
-             .select(F.least("node", "leader").alias("p"), F.greatest("node", "leader").alias("q")).distinct())
-    rest = (members.select("bucket", "node", "root")
-            .join(leaders.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti"))
-    return pairs, rest
-
-
-def _first_candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The first round, where every node is a component: one leader a bucket,
-    found by a grouped minimum."""
+def _with_leader(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bucket, node) -> (pairs p < q of a bucket's leader and its members,
+    (bucket, node) of the buckets that have more pairs)."""
     leaders = (buckets.groupBy("bucket").agg(F.min(F.struct(_order(F.col("node")).alias("o"), "node")).alias("l"),
                                              F.count(F.lit(1)).alias("n"))
                .where("n > 1").select("bucket", F.col("l.node").alias("leader"), "n"))
     joined = materialize(buckets.join(leaders, "bucket").where("node <> leader"), "bucket-members")
     pairs = joined.select(F.least("node", "leader").alias("p"), F.greatest("node", "leader").alias("q")).distinct()
-    return pairs, joined.where("n > 2").select("bucket", "node", F.col("node").alias("root"))
+    leading = leaders.where("n > 2").select("bucket", F.col("leader").alias("node"))
+    return pairs, joined.where("n > 2").select("bucket", "node").unionByName(leading)
+
+
+def _links_within(level: float):
+    def links(group):
+        node, root = group.column("node").to_numpy(), group.column("root").to_numpy()
+        side = group.column("side").to_numpy()
+        vectors = [np.unique(np.frombuffer(v, np.uint64), return_counts=True) for v in group.column("vector").to_pylist()]
+        out = linked_pairs(vectors, root, side, level)
+        return pa.table({"a": node[[i for i, _ in out]], "b": node[[j for _, j in out]]},
+                        schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    return links
+
+
+def linked_pairs(vectors, root, side, level: float = LEVEL) -> list[tuple[int, int]]:
+    """Pairs of similarity ``level`` or more that join different roots, enough
+    to connect all that are connected.  Members of two sides are compared
+    across; if there is one side only, all are.
+
+    The share of a member's shingles that another one has bounds their
+    similarity from above, and gives it exactly where no shingle repeats."""
+    sizes = np.array([c.sum() for _, c in vectors], float)
+    plain = np.array([len(s) for s, _ in vectors]) == sizes
+    member = np.repeat(np.arange(len(vectors)), [len(s) for s, _ in vectors])
+    shingle, at, times = np.unique(np.concatenate([s for s, _ in vectors]), return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1  # columns for shingles of two members or more
+    use = times[at] > 1
+    member, column = member[use], shared[at[use]]
+    weight = np.concatenate([c for _, c in vectors])[use]
+    common = np.zeros((len(vectors), len(vectors)), np.float32)
+    order = np.argsort(column, kind="stable")
+    member, column, weight = member[order], column[order], weight[order]
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (start, start + COLUMNS))
+        w = np.zeros((len(vectors), COLUMNS), np.float32)
+        w[member[a:b], column[a:b] - start] = weight[a:b]
+        common += w @ (w > 0).astype(np.float32).T
+    bound = np.minimum(common / sizes[:, None], common.T / sizes)
+    possible = np.triu(bound >= level - 1e-5, 1) & (root[:, None] != root[None, :])
+    if len(set(side.tolist())) == 2:
+        possible &= side[:, None] != side[None, :]
+    parent, out = {r: r for r in root.tolist()}, []
+
+    def find(r):
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+    for i, j in zip(*np.nonzero(possible)):
+        x, y = find(int(root[i])), find(int(root[j]))
+        if x != y:
+            s = (common[i, j] / (sizes[i] + sizes[j] - common[i, j]) if plain[i] and plain[j]
+                 else similarity(vectors[i], vectors[j]))
+            if s >= level:
+                parent[max(x, y)] = min(x, y)
+                out.append((int(i), int(j)))
+    return out
+
+
+def _rest(active: DataFrame, roots: DataFrame, vectors: DataFrame, level: float) -> DataFrame:
+    """Links (a, b) between the components of each bucket of ``active``
+    (bucket, node).  A bucket of m members is cut into about m / BLOCK blocks,
+    and each pair of blocks is one group of bounded size."""
+    rooted = materialize(active.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")), "active")
+    parts = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+             .select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")))
+    block = F.pmod(F.xxhash64(F.lit(2), "node"), F.col("blocks"))
+    dealt = (rooted.join(mixed, "bucket").join(vectors, "node").withColumn("own", block)
+             .select("bucket", "node", "root", "vector", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .select("bucket", "node", "root", "vector", (F.col("own") > F.col("other")).cast("int").alias("side"),
+                     F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(_links_within(level), "a long, b long")
 
 
 def _fetch(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -176,31 +232,19 @@ def classes(docs: DataFrame, level: float = LEVEL) -> DataFrame:
              .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")))
     nodes = materialize(nodes, "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    pairs, active = _first_candidates(buckets)
-    pairs, links, seen, roots = materialize(pairs, "pairs"), None, None, None
-    vectors, n_leaders = None, LEADERS
-    while True:
-        if not pairs.isEmpty():
-            if vectors is None:
-                # Every bucket with two members or more is in the first pairs.
-                met = pairs.select(F.explode(F.array("p", "q")).alias("node")).distinct()
-                vectors = materialize(_fetch(rows, nodes.join(met, "node").select("node")), "vectors")
-            both = (pairs.join(vectors.select(F.col("node").alias("p"), F.col("vector").alias("x")), "p")
-                    .join(vectors.select(F.col("node").alias("q"), F.col("vector").alias("y")), "q"))
-            compared = materialize(both.mapInArrow(_compare, "p long, q long, similarity double"), "compared")
-            seen = compared.select("p", "q") if seen is None else seen.unionByName(compared.select("p", "q"))
-            new = compared.where(F.col("similarity") >= level).select(F.col("p").alias("a"), F.col("q").alias("b"))
-            links = new if links is None else links.unionByName(new)
-            roots = components(links)
-        elif active.isEmpty():
-            break
-        if roots is not None:
-            active = (active.drop("root").join(roots, "node", "left")
-                      .select("bucket", "node", F.coalesce("root", "node").alias("root")))
-        pairs, active = _candidates(active, n_leaders)
-        pairs = pairs if seen is None else pairs.join(seen, ["p", "q"], "left_anti")
-        active, pairs = materialize(active, "active"), materialize(pairs, "pairs")
-        n_leaders *= 2
+    pairs, active = _with_leader(buckets)
+    pairs, roots = materialize(pairs, "pairs"), None
+    if not pairs.isEmpty():
+        # Every bucket with two members or more is in the pairs.
+        met = pairs.select(F.explode(F.array("p", "q")).alias("node")).distinct()
+        vectors = materialize(_fetch(rows, nodes.join(met, "node").select("node")), "vectors")
+        both = (pairs.join(vectors.select(F.col("node").alias("p"), F.col("vector").alias("x")), "p")
+                .join(vectors.select(F.col("node").alias("q"), F.col("vector").alias("y")), "q"))
+        compared = both.mapInArrow(_compare, "p long, q long, similarity double")
+        links = materialize(compared.where(F.col("similarity") >= level)
+                            .select(F.col("p").alias("a"), F.col("q").alias("b")), "links")
+        rest = materialize(_rest(active, components(links), vectors, level), "links")
+        roots = components(links.unionByName(rest))
     copies = signed.join(nodes.select("a", "b", "node"), ["a", "b"], "left").select("doc_id", F.coalesce("node", "doc_id").alias("copy_of"))
     if roots is not None:
         copies = copies.join(roots.select(F.col("node").alias("copy_of"), "root"), "copy_of", "left")
