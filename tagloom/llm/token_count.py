@@ -8,7 +8,7 @@ or later runs have it.
 
 Only digests are grouped (combined before the shuffle), so a text that a third
 of all rows share is no hot group; the texts that miss cross one shuffle, by
-document id.  The last join is by digest; Spark splits a skewed digest.
+document id, compressed more tightly than Spark compresses its shuffles.  The last join is by digest; Spark splits a skewed digest.
 
 Normalised content is the text with null as the empty text: any other change
 (case, white space, Unicode form) would change counts.
@@ -45,11 +45,22 @@ def stored(spark: SparkSession, cache: str) -> DataFrame:
         return spark.createDataFrame([], CACHE_SCHEMA)
 
 
+def _compress(batches):
+    for batch in batches:
+        raw = [t.encode() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("digest"), pa.array(map(len, raw), pa.int64()),
+             pa.array([pa.compress(t, codec="zstd", asbytes=True) if t else b"" for t in raw], pa.binary())],
+            names=["doc_id", "digest", "n_bytes", "packed"])
+
+
 def _encode(definition: str):
     def encode(batches):
         counter = token_counter(definition.value)
         for batch in batches:
-            counts = [counter.count(t) for t in batch.column("text").to_pylist()]
+            texts = (pa.decompress(z, n, codec="zstd", asbytes=True).decode() if n else ""
+                     for z, n in zip(batch.column("packed").to_pylist(), batch.column("n_bytes").to_pylist()))
+            counts = [counter.count(t) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())],
                                              names=["digest", "n_tokens"])
     return encode
@@ -69,8 +80,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = LIMIT
     misses = (keyed.groupBy("digest").agg(F.min("doc_id").alias("one")).join(known, "digest", "left_anti")
               .withColumnRenamed("digest", "miss"))
     # The side of the misses has small rows and is the one that is hashed.
-    texts = (full.join(misses.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("digest") == F.col("miss")))
-             .select("digest", "text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    packed = full.mapInArrow(_compress, f"doc_id {kind}, digest binary, n_bytes long, packed binary")
+    texts = (packed.join(misses.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("digest") == F.col("miss")))
+             .select("digest", "n_bytes", "packed"))
     shared = spark.sparkContext.broadcast(definition)
     new = texts.mapInArrow(_encode(shared), "digest binary, n_tokens long")
     (new.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache))
