@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import scratch_path
 from ..sources.tables import table
-from . import language_id, line_dedup, mixing, near_dedup, packing, quality_rules, token_count, url_filter
+from . import ann_forest, language_id, line_dedup, mixing, near_dedup, packing, quality_rules, token_count, url_filter
 
 
 def tokenizer_file(name: str) -> str:
@@ -22,6 +24,10 @@ def languages(spark, sf_dir):
     return language_id.identify(docs, language_id.train(docs))
 
 
+def neighbours(spark, sf_dir):
+    return ann_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def packs(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -51,6 +57,7 @@ QUERIES = {
     "op1_near_dedup": near_duplicates,
     "op2_language_id": languages,
     "op4_packing": packs,
+    "op5_ann_forest": neighbours,
     "op7_token_counts": token_counts,
     "op3_quality_rules": quality,
     "op8_url_filters": url_filters,
