@@ -19,22 +19,35 @@ from tokenizers import Tokenizer
 MAX_PIECES = 400_000
 _CONTROLS = "\\x1c-\\x1f\\u180e\\u200b-\\u200d\\u2060\\ufeff"
 # White space other than one space or one newline between words, controls that
-# libraries class differently, and the start of a special string.
+# libraries class differently; special strings start with ``_SPECIAL``.
 _ODD_SPACE = re.compile("[ \\n][ \\n]|<\\||[\\t\\r\\x0b\\x0c\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000" + _CONTROLS + "]")
-_CONTROL = re.compile("<\\||[" + _CONTROLS + "]")
+_CONTROL = re.compile("[" + _CONTROLS + "]")
+_SPECIAL = "<|"
+
+
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(f"[!-~{_LETTERS}]+")
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^a-z0-9{_LETTERS}]+")
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+# Byte-level vocabularies write a byte that is no visible Latin-1 character as
+# the next free code point from 256 on.
+_BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
 class _Table(dict):
-    """Piece -> value, computed where it is missing."""
+    """Piece -> value, computed where it is missing.  Beyond ``MAX_PIECES`` the
+    entries become the old generation, from which those met again come back."""
 
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.old = compute, {}
 
     def __missing__(self, piece):
         if len(self) >= MAX_PIECES:
+            self.old = dict(self)
             self.clear()
-        value = self[piece] = self.compute(piece)
+        value = self.old.get(piece)
+        value = self[piece] = self.compute(piece) if value is None else value
         return value
 
 
@@ -50,7 +63,7 @@ class TokenCounter:
         return len(self.library.encode(text, add_special_tokens=False).ids)
 
     def count(self, text: str) -> int:
-        if _ODD_SPACE.search(text):
+        if _SPECIAL in text or _ODD_SPACE.search(text):
             return self.whole(text)
         pieces = text.replace("\n", " \n").split(" ")
         first = self.whole(pieces[0]) if pieces[0] else 0
@@ -59,17 +72,30 @@ class TokenCounter:
 
 class TokenIds:
     """Ids, as little-endian unsigned 32-bit bytes, of a tokenizer that drops
-    white space and never looks across it."""
+    white space, lower-cases, and encodes runs of letters, single digits and
+    runs of other marks (``_PARTS``) on their own.  Pieces of ASCII and Latin-1
+    letters only are cut into these parts, which go straight to the model."""
 
     def __init__(self, definition: str):
         self.library = Tokenizer.from_str(definition)
-        self.table = _Table(self.whole)
+        self.model = self.library.model
+        self.parts = _Table(self.part)
+        self.table = _Table(self.piece)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def part(self, part: str) -> bytes:
+        """One part: its bytes, written as the model's vocabulary writes them."""
+        return np.array([t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_BYTE_NAMES))], "<u4").tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        if not _PLAIN.fullmatch(piece):
+            return self.whole(piece)
+        return b"".join(map(self.parts.__getitem__, _PARTS.findall(piece.lower())))
+
     def ids(self, text: str) -> np.ndarray:
-        raw = self.whole(text) if _CONTROL.search(text) else b"".join(map(self.table.__getitem__, text.split()))
+        raw = self.whole(text) if _SPECIAL in text or _CONTROL.search(text) else b"".join(map(self.table.__getitem__, text.split()))
         return np.frombuffer(raw, dtype="<u4")
 
 
