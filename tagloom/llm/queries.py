@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import ann_forest, language_id, line_dedup, mixing, near_dedup, packing, quality_rules, token_count, url_filter
+from . import ann_forest, language_id, line_dedup, mixing, near_dedup, packing, quality_rules, secret_crf, token_count, url_filter
 
 
 def tokenizer_file(name: str) -> str:
@@ -32,6 +32,11 @@ def packs(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return secret_crf.scan(docs, secret_crf.train(docs))
+
+
 def token_counts(spark, sf_dir):
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
                                     scratch_path(spark, "token-counts"))
@@ -58,6 +63,7 @@ QUERIES = {
     "op2_language_id": languages,
     "op4_packing": packs,
     "op5_ann_forest": neighbours,
+    "op6_secret_crf": secrets,
     "op7_token_counts": token_counts,
     "op3_quality_rules": quality,
     "op8_url_filters": url_filters,
