@@ -191,5 +191,5 @@ def plan(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents of the mix: each row as often as its copies."""
-    return (_decided(docs).where("copies > 0")
-            .select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc.*"))
+    copies = F.explode_outer(F.array_repeat("doc", F.col("copies").cast("int"))).alias("copy")
+    return _decided(docs).select(copies).where("copy is not null").select("copy.*")

@@ -62,10 +62,10 @@ def bad_line(line: Column, n: Column) -> Column:
 def _repeat_words(hashes: Column) -> Column:
     """Words covered by windows whose hash occurs twice or more, given the
     hash of the window at each position."""
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     again = F.transform(F.array(pairs), lambda s: F.filter(s, lambda x, j:
                         ((j > 0) & (F.get(s, j - 1)["h"] == x["h"])) | (F.get(s, j + 1)["h"] == x["h"])))[0]
-    starts = F.array_sort(F.transform(again, lambda x: x["i"]))
+    starts = F.sort_array(F.transform(again, lambda x: x["i"]))
     covered = F.transform(F.array(starts), lambda s: F.aggregate(
         s, F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-WINDOW).alias("last")),
         lambda a, p: F.struct((a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n"), p.alias("last"))))[0]
@@ -111,9 +111,11 @@ def cleaned(docs: DataFrame) -> DataFrame:
     """The documents that pass, without their failed lines, columns as given
     (``n_chars``, if there, is counted anew where the text changed)."""
     text = F.array_join(F.transform(F.filter("js", lambda x: ~x["bad"]), lambda x: x["s"]), "\n")
-    kept = measured(docs).where("kept").select("doc", F.when(F.col("lost_words") > 0, text)
-                                              .otherwise(F.col("doc.text")).alias("new_text"))
-    return kept.select(*with_text(docs, F.col("new_text")))
+    new = F.struct("doc", F.when(F.col("lost_words") > 0, text).otherwise(F.col("doc.text")).alias("new_text"))
+    # A filter on the verdict would be pushed below the measures, with a copy of
+    # them; one on the output of a generator stays where it is.
+    kept = measured(docs).select(F.explode_outer(F.array_repeat(new, F.col("kept").cast("int"))).alias("k"))
+    return kept.where("k is not null").select("k.*").select(*with_text(docs, F.col("new_text")))
 
 
 def with_text(docs: DataFrame, text: Column) -> list[Column]:
