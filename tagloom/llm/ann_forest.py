@@ -203,7 +203,7 @@ def nearest(table: DataFrame, queries, id: str = "vec_id", vector: str = "embedd
     picked.sort(key=lambda r: (r["vec_id"], r["v"]))
     longest = rows.agg(F.max("norm")).first()[0] or 0.0
     ids, points = np.array([r["vec_id"] for r in picked], np.int64), np.array([r["v"] for r in picked], float)
-    points = points.reshape(len(ids), -1)
+    points = points.reshape(len(ids), len(picked[0]["v"]) if picked else 1)
     distinct = np.array([r["copy"] == 1 for r in picked], bool)
     forest = Forest(lifted(points[distinct], longest), trees, leaf)
     shared = spark.sparkContext.broadcast({"forest": forest, "ids": ids, "sample": points, "longest": longest})
