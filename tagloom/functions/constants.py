@@ -163,21 +163,29 @@ def _is_stripped_mark(ch: str) -> bool:
     return cat.startswith("M") or cat in ("Lm", "Sk") or 0x0300 <= ord(ch) <= 0x036F
 
 
+# Hangul syllables decompose by rule: (leading, vowel, trailing) conjoining letters.
+HANGUL_FIRST, HANGUL_LAST = "\uac00", "\ud7a3"
+HANGUL_LEADING = [chr(0x1100 + i) for i in range(19)]
+HANGUL_VOWELS = [chr(0x1161 + i) for i in range(21)]
+HANGUL_TRAILING = [""] + [chr(0x11A8 + i) for i in range(27)]
+
+
 @functools.lru_cache(maxsize=1)
 def accent_fold_table() -> tuple[str, str]:
     """(source, target) for ``translate``: canonical decomposition with marks,
-    modifier letters and modifier symbols removed, derived from ``unicodedata``.
+    modifier letters and modifier symbols removed, derived from ``unicodedata``
+    for every code point.
 
     Characters that decompose to one remaining character map to it; those that
     decompose to nothing are deleted (they sit after the mapped part of
-    ``source``).  Hangul syllables (several remaining characters) are left as
-    they are.
+    ``source``).  Only Hangul syllables keep several characters; they are
+    decomposed by rule (``functions.text.fold``).
     """
     src, dst, deleted = [], [], []
-    for cp in range(0x80, 0x3000):
+    for cp in range(0x80, 0x110000):
         ch = chr(cp)
         dec = unicodedata.normalize("NFD", ch)
-        if dec == ch:
+        if dec == ch or HANGUL_FIRST <= ch <= HANGUL_LAST:
             continue
         kept = "".join(c for c in dec if not _is_stripped_mark(c))
         if len(kept) == 1:
@@ -185,4 +193,6 @@ def accent_fold_table() -> tuple[str, str]:
             dst.append(kept)
         elif not kept:
             deleted.append(ch)
+        else:
+            raise ValueError(f"U+{cp:04X} keeps {len(kept)} characters")
     return "".join(src) + "".join(deleted), "".join(dst)

@@ -9,9 +9,9 @@ The tokeniser of one tag string is defined recursively:
            otherwise          -> concat of T(c) for c in L
 
 ``tokenize`` evaluates T to its fixpoint inside one expression: the pending
-strings live in an ``array<struct<s,d>>`` (``d`` = final) and a bounded
+strings live in an ``array<struct<s,d>>`` (``d`` = final) and an
 ``aggregate`` over ``sequence(1, n)`` applies one expansion round while any
-entry is pending.  Every helper binds intermediate values once through
+entry is pending; a string that were still pending then is an error.  Every helper binds intermediate values once through
 ``_let`` so the interpreted lambdas never evaluate a sub-expression twice.
 """
 
@@ -53,11 +53,30 @@ def fold(c: Column) -> Column:
     src, dst = C.accent_fold_table()
 
     def body(low):
+        plain = F.when(low.rlike(_HANGUL), _hangul_letters(low)).otherwise(low)
         return F.when(low.rlike(_FOLD_CANDIDATE),
-                      F.regexp_replace(F.translate(low, src, dst), _STRIP_CLASS, "")).otherwise(low)
+                      F.regexp_replace(F.translate(plain, src, dst), _STRIP_CLASS, "")).otherwise(low)
     return _let(F.lower(java_trim(c)), body)
 
 
+_HANGUL = f"[{C.HANGUL_FIRST}-{C.HANGUL_LAST}]"
+
+
+def _hangul_letters(s: Column) -> Column:
+    """Every Hangul syllable replaced by its two or three conjoining letters."""
+    def letters(names):
+        return F.array(*map(F.lit, names))
+
+    def split(c):
+        n = F.ascii(c) - ord(C.HANGUL_FIRST)
+        rest = F.pmod(n, F.lit(588))
+        return F.when(c.rlike(_HANGUL), F.concat(
+            F.get(letters(C.HANGUL_LEADING), F.floor(n / 588).cast("int")),
+            F.get(letters(C.HANGUL_VOWELS), F.floor(rest / 28).cast("int")),
+            F.get(letters(C.HANGUL_TRAILING), F.pmod(n, F.lit(28))))).otherwise(c)
+    return F.array_join(F.transform(F.split(s, ""), split), "")
+
+
 def _uncountable_pattern() -> str:
     return "(^|[^a-z0-9_])(" + "|".join(C.UNCOUNTABLE_WORDS) + ")$"
 
@@ -176,16 +195,13 @@ def _round(state: Column) -> Column:
 def tokenize(x: Column) -> Column:
     """Final tokens of T(x) (order of the recursion, duplicates kept).
 
-    The fold runs at most ``2 * length(x) + 8`` rounds; a round is a no-op once
-    every entry is final.  Each recursion level either shortens the strings or
-    normalises them, so the bound is never reached on real text (the tests
-    assert that all entries end final).
+    A round is a no-op once every entry is final.  Each recursion level either
+    shortens the strings or normalises them, so ``2 * length(x) + 8`` rounds
+    reach the fixpoint; the query fails if they should ever not, rather than
+    give out an unfinished string as a token.
     """
-    init = F.array(_entry(x, False))
-    rounds = F.sequence(F.lit(1), F.length(x) * 2 + 8)
-    state = F.aggregate(rounds, init,
-                        lambda acc, i: F.when(F.forall(acc, lambda e: e["d"]), acc).otherwise(_round(acc)))
-    return F.transform(state, lambda e: e["s"])
+    unfinished = F.raise_error(F.concat(F.lit("no fixpoint for tag word: "), x))
+    return F.transform(tokenize_state(x), lambda e: F.when(e["d"], e["s"]).otherwise(unfinished))
 
 
 def tokenize_state(x: Column) -> Column:

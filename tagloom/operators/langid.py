@@ -8,8 +8,8 @@ trigrams seen in language l:
                      trigrams seen in l of ln(c_l(trigram) + 1)
 
 so only trigrams a language has seen join with the model, and the sum is a
-grouped aggregate on (line, language) that combines map-side.  The model is
-(trigram, language) rows -- broadcast only when its counted size allows.
+grouped aggregate on (line, language) that combines map-side.  Spark picks the
+join with the model by its size in bytes.
 Ties (scores rounded to 9 decimals) go to the smaller language code.
 """
 
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, spread
 
-MAX_BROADCAST_MODEL_ROWS = 5_000_000
 SCORE_DECIMALS = 9
 
 
@@ -75,12 +74,12 @@ def predict(lines: DataFrame, model: DataFrame, langs: DataFrame, key_cols: list
     codes = [r["lang"] for r in lang_rows]
     wide = model.groupBy("tri").pivot("lang", codes).agg(F.first("w"))
     wide = wide.toDF("tri", *[f"w{i}" for i in range(len(codes))])
-    m = wide if wide.count() > MAX_BROADCAST_MODEL_ROWS else F.broadcast(wide)
-    tris = _exploded(lines, key_cols)
-    seen = (tris.join(m, "tri")
-            .groupBy(*key_cols).agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in range(len(codes))]))
-    sizes = lines.select(*key_cols, F.length("label").alias("T"))
-    scored = sizes.join(seen, key_cols, "left")
+    # The line's length rides in the grouping key, and lines without a trigram
+    # keep one row, so the lines are read once.
+    tris = spread(lines, only_if_narrow=True).select(
+        *key_cols, F.length("label").alias("T"), F.explode_outer(trigrams(F.col("label"))).alias("tri"))
+    scored = (tris.join(wide, "tri", "left")
+              .groupBy(*key_cols, "T").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in range(len(codes))]))
     cands = F.array(*[
         F.struct((-F.round(F.lit(r["prior"]) - F.col("T") * F.lit(r["norm"])
                            + F.coalesce(F.col(f"s{i}"), F.lit(0.0)), SCORE_DECIMALS)).alias("neg"),

@@ -14,7 +14,7 @@ softmax.  Equal probabilities rank by node id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
@@ -23,7 +23,6 @@ from ..session import materialize
 
 # Broadcast guard: largest model (classes x dimensions) shipped to executors.
 MAX_MODEL_CELLS = 4_000_000
-MAX_DICTIONARY_ROWS = 1_000_000
 
 
 def standardize(vec, mean: float = C.PIXEL_MEAN, scale: float = C.PIXEL_SCALE):
@@ -58,11 +57,6 @@ def model_row(model: DataFrame) -> DataFrame:
     return materialize(row, "model-row").withColumn("_k", F.lit(0))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_DICTIONARY_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the rows; otherwise let AQE choose."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def probabilities(vec, classes):
     """array<struct<node, prob>> softmax over the classes (vec standardised).
 
@@ -115,11 +109,26 @@ def score_vectors(images: DataFrame, model: DataFrame, key: str, vec: str = "emb
 
 
 def name_nodes(scored: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Node id -> label name; unknown ids get '' (broadcast left join)."""
-    d = checked_broadcast(dictionary.select(F.col("node_id").alias("node"), F.col("name")))
+    """Node id -> label name; unknown ids get ''.  Spark picks the join by the
+    dictionary's size in bytes."""
+    d = dictionary.select(F.col("node_id").alias("node"), F.col("name"))
     return scored.join(d, "node", "left").withColumn("label", F.coalesce("name", F.lit(""))).drop("name")
 
 
+def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """``df`` with each row's position, from 0, in the order of ``order``.
+
+    The rows are sorted by range and stored; each task's rows are numbered on
+    their own and moved up by the rows of the tasks before it, of which there
+    is one number each."""
+    parted = materialize(df.orderBy(*order).withColumn("_part", F.spark_partition_id()), "sorted")
+    sizes = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    first = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return (parted.withColumn("_own", own).join(sizes.select("_part", first.alias("_first")), "_part")
+            .withColumn(out, (F.col("_own") + F.col("_first")).cast("bigint")).drop("_part", "_own", "_first"))
+
+
 def nation_dictionary(nation: DataFrame) -> DataFrame:
     """Stand-in node dictionary: nation key -> nation name."""
     return nation.select(F.col("n_nationkey").alias("node_id"), F.col("n_name").alias("name"))
@@ -135,10 +144,9 @@ def classify_images(index: DataFrame, contents: DataFrame, model: DataFrame, dic
     m = model_row(model)
     with_dim = joined.withColumn("_k", F.lit(0)).join(F.broadcast(m), "_k")
     ok = valid_vector(F.col("embedding"), F.col("dim"))
-    good = (with_dim.where(ok)
-            .select(key, F.posexplode(top_k(probabilities(F.col("embedding"), F.col("classes")), k)).alias("pos", "t"))
-            .select(key, F.col("t.node").alias("node"), F.col("t.prob").alias("score")))
-    good = name_nodes(good, dictionary).select(key, "label", "score")
-    bad = with_dim.where(~F.coalesce(ok, F.lit(False))).select(
-        key, F.lit(C.NONE_LABEL).alias("label"), F.lit(C.NONE_SCORE).alias("score"))
-    return good.unionByName(bad)
+    best = F.transform(top_k(probabilities(F.col("embedding"), F.col("classes")), k), lambda t: F.struct(
+        t["node"].alias("node"), t["prob"].alias("score"), F.lit(True).alias("scored")))
+    none = F.array(F.struct(F.lit(None).cast("int").alias("node"), F.lit(C.NONE_SCORE).alias("score"), F.lit(False).alias("scored")))
+    rows = with_dim.select(key, F.explode(F.when(ok, best).otherwise(none)).alias("t")).select(key, "t.*")
+    return name_nodes(rows, dictionary).select(
+        key, F.when(F.col("scored"), F.col("label")).otherwise(C.NONE_LABEL).alias("label"), "score")

@@ -3,7 +3,7 @@
 Each job reads its inputs, builds one Catalyst plan per output from the
 operators in ``tagloom.operators`` and writes every dataset the reference
 writes (same content, same file layout: text / JSON / ``~`` CSV / ``,`` CSV,
-fixed file counts through ``coalesce``).  Intermediate results read by several
+file counts through ``coalesce`` where asked for).  Intermediate results read by several
 sinks are persisted for the duration of the job and released at the end.
 Timestamps of start / processing / end are logged like the reference does.
 """
@@ -37,18 +37,22 @@ def _dir(base: str) -> str:
 
 
 def tag_analysis_job(spark: SparkSession, raw_lines: DataFrame, scores: DataFrame, out_dir: str,
-                     language_lines: DataFrame | None = None) -> dict[str, str]:
+                     language_lines: DataFrame | None = None, files: int | None = None) -> dict[str, str]:
     """raw_lines (image, label) tag lines; scores (image, label, score) of the
-    image model.  Writes the ten outputs and returns their paths."""
+    image model.  Writes the ten outputs and returns their paths.  ``files``
+    sets the number of files of each large output; by default each task writes
+    its own."""
     out = _dir(out_dir)
     paths = {}
     _stamp("start")
     raw = raw_lines.persist(StorageLevel.MEMORY_AND_DISK)
     if language_lines is not None:
         model, langs = L.train(language_lines)
-        keyed = raw.withColumn("_row", F.monotonically_increasing_id())
-        pred = L.predict(keyed.select("_row", "label"), model, langs, ["_row"])
-        hist = pred.groupBy(F.col("lang").alias("idioma")).agg(F.count(F.lit(1)).alias("count"))
+        # A prediction depends on the line's text alone: one per distinct line.
+        counted = raw.where("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+        keyed = counted.select(F.col("label").alias("_line"), "n", "label")
+        pred = L.predict(keyed, model, langs, ["_line", "n"])
+        hist = pred.groupBy(F.col("lang").alias("idioma")).agg(F.sum("n").alias("count"))
         paths["languages"] = out + "user_tags/idiomas"
         sinks.write_delimited(hist, paths["languages"], ",", files=3)
     tags = T.normalized_tags(raw).persist(StorageLevel.MEMORY_AND_DISK)
@@ -56,14 +60,14 @@ def tag_analysis_job(spark: SparkSession, raw_lines: DataFrame, scores: DataFram
     paths["common_tags"] = out + "user_tags/comunes"
     sinks.write_text(T.top_tags(counts).select("label_normalized"), paths["common_tags"])
     paths["all_tags"] = out + "user_tags/labels"
-    sinks.write_text(counts.select("label_normalized"), paths["all_tags"], files=6)
+    sinks.write_text(counts.select("label_normalized"), paths["all_tags"], files=files)
     paths["tags_images"] = out + "user_tags/labels-images"
     sinks.write_json(tags.select(F.col("image").cast("bigint").alias("id"), F.col("label_normalized").alias("label"))
-                     .orderBy("id"), paths["tags_images"], files=6)
+                     .orderBy("id"), paths["tags_images"], files=files)
     paths["tag_analysis"] = out + "user_tags/analisis"
-    sinks.write_delimited(counts, paths["tag_analysis"], "~", files=6)
+    sinks.write_delimited(counts, paths["tag_analysis"], "~", files=files)
     paths["original"] = out + "user_tags/original"
-    sinks.write_json(T.original_tags(raw), paths["original"], files=6)
+    sinks.write_json(T.original_tags(raw), paths["original"], files=files)
     _stamp("tags written")
     label_counts = (scores.where(F.col("label") != C.NONE_LABEL).groupBy("label")
                     .agg(F.count(F.lit(1)).alias("count")).persist(StorageLevel.MEMORY_AND_DISK))
@@ -71,11 +75,11 @@ def tag_analysis_job(spark: SparkSession, raw_lines: DataFrame, scores: DataFram
     sinks.write_text(T.top_tags(label_counts, "label", "count", C.TOP_TAGS, C.TOP_TAGS, None).select("label"),
                      paths["common_labels"])
     paths["all_labels"] = out + "model_labels/labels"
-    sinks.write_text(label_counts.select("label"), paths["all_labels"], files=6)
+    sinks.write_text(label_counts.select("label"), paths["all_labels"], files=files)
     paths["unscored"] = out + "model_labels/none"
     sinks.write_text(scores.where(F.col("label") == C.NONE_LABEL).select("image"), paths["unscored"], files=3)
     paths["label_analysis"] = out + "model_labels/analisis"
-    sinks.write_delimited(label_counts, paths["label_analysis"], "~", files=6)
+    sinks.write_delimited(label_counts, paths["label_analysis"], "~", files=files)
     for df in (label_counts, counts, tags, raw):
         df.unpersist()
     _stamp("end")
@@ -119,7 +123,7 @@ def inference_job(spark: SparkSession, feature_pairs: DataFrame, target_pairs: D
     _, assign = TR.train_and_assign(targets, feats, thresholds, depth)
     preds = TR.predicted_pairs(TR.leaf_predictions(assign)).persist(StorageLevel.MEMORY_AND_DISK)
     pred_path, stats_path = out + "predicciones", out + "estadisticas"
-    sinks.write_json(preds, pred_path, files=6)
+    sinks.write_json(preds, pred_path)
     test_ids = targets.where(~F.col("train")).select("id").distinct()
     stats = TR.prediction_statistics(preds, target_pairs.join(test_ids, "id", "left_semi"))
     sinks.write_json(stats, stats_path, files=3)

@@ -1,7 +1,7 @@
 """Cross-vocabulary label inference: tags -> model labels and back.
 
-Depth-1 forests are checked against SQL; depth-8 forests (the reference's
-setting) and the MLlib path are rows-only checks.
+Forests of depth 1 and 8 (the job's setting) are checked against SQL; the MLlib
+path is a cross-check on rows only.
 """
 
 from __future__ import annotations
@@ -137,38 +137,54 @@ def _gini(n: str, n1: str) -> str:
     return f"(1.0 - {p} * {p} - (1.0 - {p}) * (1.0 - {p}))"
 
 
-def depth1_cte(p: str, tgt: str, feat: str, thresholds: list[float]) -> str:
-    """CTEs ``{p}_pred(id, label)`` of a depth-1 forest, mirroring trees.py."""
+def level_cte(p: str, level: int, feat: str, thresholds: list[float]) -> str:
+    """One level of a forest: ``{p}_n{level}`` -> ``{p}_n{level + 1}``, tables of
+    (target, id, y, train, node), mirroring trees.py."""
     tl = "[" + ", ".join(repr(float(t)) for t in thresholds) + "]"
     bin_expr = " + ".join(f"(CASE WHEN f.v > {float(t)!r} THEN 1 ELSE 0 END)" for t in thresholds)
+    q, tgt = f"{p}{level}", f"{p}_n{level}"
+    over = "OVER (PARTITION BY target, node, f ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     return f""",
-{p}_stats AS (SELECT target, count(*) AS n, sum(y) AS n1 FROM {tgt} WHERE train GROUP BY target),
-{p}_binned AS (SELECT target, f, bin, count(*) AS c, sum(y) AS c1 FROM (
-    SELECT t.target, f.f, t.y, {bin_expr} AS bin FROM {tgt} t JOIN {feat} f ON t.id = f.id WHERE t.train)
-  WHERE bin >= 1 GROUP BY target, f, bin),
-{p}_cum AS (SELECT target, f, bin,
-    sum(c) OVER (PARTITION BY target, f ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nr,
-    sum(c1) OVER (PARTITION BY target, f ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nr1,
-    coalesce(lead(bin) OVER (PARTITION BY target, f ORDER BY bin DESC), 0) AS prev_bin FROM {p}_binned),
-{p}_cand AS (SELECT c.target, c.f, c.prev_bin, s.n, s.n1, c.nr, c.nr1, s.n - c.nr AS nl, s.n1 - c.nr1 AS nl1
-  FROM {p}_cum c JOIN {p}_stats s USING (target)),
-{p}_gain AS (SELECT target, f, {tl}[prev_bin + 1] AS t,
+{q}_active AS (SELECT * FROM {tgt} WHERE train AND node >= {2 ** level}),
+{q}_stats AS (SELECT target, node, count(*) AS n, sum(y) AS n1 FROM {q}_active GROUP BY target, node),
+{q}_binned AS (SELECT target, node, f, bin, count(*) AS c, sum(y) AS c1 FROM (
+    SELECT t.target, t.node, f.f, t.y, {bin_expr} AS bin FROM {q}_active t JOIN {feat} f ON t.id = f.id)
+  WHERE bin >= 1 GROUP BY target, node, f, bin),
+{q}_cum AS (SELECT target, node, f, bin, sum(c) {over} AS nr, sum(c1) {over} AS nr1,
+    coalesce(lead(bin) OVER (PARTITION BY target, node, f ORDER BY bin DESC), 0) AS prev_bin FROM {q}_binned),
+{q}_cand AS (SELECT c.target, c.node, c.f, c.prev_bin, s.n, s.n1, c.nr, c.nr1, s.n - c.nr AS nl, s.n1 - c.nr1 AS nl1
+  FROM {q}_cum c JOIN {q}_stats s USING (target, node)),
+{q}_gain AS (SELECT target, node, f, {tl}[prev_bin + 1] AS t,
     round({_gini('n', 'n1')} - nl / n * {_gini('nl', 'nl1')} - nr / n * {_gini('nr', 'nr1')}, {TR.GAIN_DECIMALS}) AS gain
-  FROM {p}_cand WHERE nr >= 1 AND nl >= 1),
-{p}_best AS (SELECT target, f, t FROM (
-    SELECT *, row_number() OVER (PARTITION BY target ORDER BY gain DESC, f, t) AS rn FROM {p}_gain WHERE gain > 0)
+  FROM {q}_cand WHERE nr >= 1 AND nl >= 1),
+{q}_best AS (SELECT target, node, f, t FROM (
+    SELECT *, row_number() OVER (PARTITION BY target, node ORDER BY gain DESC, f, t) AS rn FROM {q}_gain WHERE gain > 0)
   WHERE rn = 1),
-{p}_assign AS (SELECT t.target, t.id, t.y, t.train,
-    CASE WHEN b.f IS NULL THEN 1 ELSE 2 + CAST(coalesce(fv.v, 0.0) > b.t AS INTEGER) END AS node
-  FROM {tgt} t LEFT JOIN {p}_best b ON b.target = t.target LEFT JOIN {feat} fv ON fv.id = t.id AND fv.f = b.f),
+{p}_n{level + 1} AS MATERIALIZED (SELECT t.target, t.id, t.y, t.train,
+    CASE WHEN b.f IS NULL THEN t.node ELSE 2 * t.node + CAST(coalesce(fv.v, 0.0) > b.t AS INTEGER) END AS node
+  FROM {tgt} t LEFT JOIN {q}_best b ON b.target = t.target AND b.node = t.node
+  LEFT JOIN {feat} fv ON fv.id = t.id AND fv.f = b.f)"""
+
+
+def forest_cte(p: str, tgt: str, feat: str, thresholds: list[float], depth: int) -> str:
+    """CTEs ``{p}_pred(id, label)`` of a forest of the given depth."""
+    levels = "".join(level_cte(p, level, feat, thresholds) for level in range(depth))
+    return f""",
+{p}_n0 AS MATERIALIZED (SELECT target, id, y, train, 1 AS node FROM {tgt}){levels},
 {p}_leaves AS (SELECT target, node, CASE WHEN sum(y) * 2 > count(*) THEN 1 ELSE 0 END AS prediction
-  FROM {p}_assign WHERE train GROUP BY target, node),
-{p}_pred AS (SELECT a.id, a.target AS label FROM {p}_assign a JOIN {p}_leaves l USING (target, node)
+  FROM {p}_n{depth} WHERE train GROUP BY target, node),
+{p}_pred AS (SELECT a.id, a.target AS label FROM {p}_n{depth} a JOIN {p}_leaves l USING (target, node)
   WHERE NOT a.train AND l.prediction = 1)"""
 
 
-A_CTE = BASE_CTE + depth1_cte("a", "tgt_a", "feat_a", TR.BINARY_THRESHOLDS)
-B_CTE = BASE_CTE + depth1_cte("b", "tgt_b", "feat_b", TR.SCORE_THRESHOLDS)
+def _forests(depth: int) -> tuple[str, str]:
+    """SQL up to the predictions of both directions."""
+    return (BASE_CTE + forest_cte("a", "tgt_a", "feat_a", TR.BINARY_THRESHOLDS, depth),
+            BASE_CTE + forest_cte("b", "tgt_b", "feat_b", TR.SCORE_THRESHOLDS, depth))
+
+
+A_CTE, B_CTE = _forests(1)
+A8_CTE, B8_CTE = _forests(C.TREE_DEPTH)
 
 
 def _stats_sql(p: str, tgt: str, truth: str) -> str:
@@ -237,17 +253,18 @@ def hit_rate_df(spark, sf_dir):
     return rated.withColumn("_k", F.lit(0)).join(F.broadcast(bounds), "_k").drop("_k")
 
 
-@register("infer_labels_from_tags_depth8", None, "M5/M6 depth 8, M7, U1 (rows only)")
+@register("infer_labels_from_tags_depth8", A8_CTE + "\nSELECT id, label FROM a_pred", "M5,M6 depth 8,M7,U1")
 def infer_labels_depth8_df(spark, sf_dir):
     return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_tags_to_labels, C.TREE_DEPTH))
 
 
-@register("infer_tags_from_labels_depth8", None, "M5/M6 depth 8, M7, U1 (rows only)")
+@register("infer_tags_from_labels_depth8", B8_CTE + "\nSELECT id, label FROM b_pred", "M5,M6 depth 8,M7,U1")
 def infer_tags_depth8_df(spark, sf_dir):
     return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_labels_to_tags, C.TREE_DEPTH))
 
 
-@register("prediction_stats_depth8", None, "A9,M8 on depth-8 forests (rows only)")
+@register("prediction_stats_depth8", A8_CTE + _stats_sql("a", "tgt_a", "model_pairs") + "\nSELECT * FROM a_statsout",
+          "A9,M8 on depth-8 forests")
 def prediction_stats_depth8_df(spark, sf_dir):
     return statistics(spark, sf_dir, direction_tags_to_labels, C.TREE_DEPTH)
 

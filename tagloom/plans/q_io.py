@@ -62,7 +62,7 @@ def original_tags_json_df(spark, sf_dir):
     docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text")
     original = T.original_tags(T.lines_from_text(docs, "doc_id", "text"))
     path = scratch_path(spark, "original-tags")
-    sinks.write_json(original, path, files=6)
+    sinks.write_json(original, path)
     return tables.read_pairs(spark, path)
 
 

@@ -84,8 +84,11 @@ def score_sentinel_df(spark, sf_dir):
 SELECT label, count(*) AS count FROM classification WHERE label <> '{C.NONE_LABEL}' GROUP BY label""",
           "A3,F1,K4")
 def label_counts_df(spark, sf_dir):
-    c = classification(spark, sf_dir)
-    return c.where(F.col("label") != C.NONE_LABEL).groupBy("label").agg(F.count(F.lit(1)).alias("count"))
+    return count_labels(classification(spark, sf_dir))
+
+
+def count_labels(scores):
+    return scores.where(F.col("label") != C.NONE_LABEL).groupBy("label").agg(F.count(F.lit(1)).alias("count"))
 
 
 @register("label_top50",
@@ -108,25 +111,32 @@ def unscored_images_df(spark, sf_dir):
 # ---- HTML index listing ----------------------------------------------------
 
 LISTING_SQL = f"""
-SELECT page_id, pos, name, url || '/' || name AS image_url, (pos - 2) // {C.LOT_SIZE} AS lot FROM (
+SELECT page_id, pos, name, url || '/' || name AS image_url,
+       (row_number() OVER (ORDER BY page_id, pos) - 1) // {C.LOT_SIZE} AS lot FROM (
   SELECT page_id, url, pos, string_split(string_split(piece, '<')[2], '>')[2] AS name
   FROM (SELECT page_id, url, unnest(string_split(html, '<li>')) AS piece,
                generate_subscripts(string_split(html, '<li>'), 1) - 1 AS pos FROM pages))
-WHERE pos >= 2 AND pos < {C.IMAGES_PER_INDEX} + 2 AND name IS NOT NULL"""
+WHERE pos >= 2 AND name IS NOT NULL"""
 
 
-def listing(spark, sf_dir, n: int = C.IMAGES_PER_INDEX):
-    """Items of each page's ``<li>`` list after the first one, first ``n``:
-    link text = text between the first '>' and the next '<' of the item."""
+def listing(spark, sf_dir):
+    """Items of each page's ``<li>`` list after the first one: link text = text
+    between the first '>' and the next '<' of the item."""
     pages = tables.table(spark, sf_dir, "pages").select("page_id", "url", "html")
     pieces = pages.select("page_id", "url", F.posexplode(F.split("html", "<li>")).alias("pos", "piece"))
-    items = pieces.where((F.col("pos") >= 2) & (F.col("pos") < n + 2))
     name = F.get(F.split(F.get(F.split("piece", "<"), 1), ">"), 1)
-    return (items.select("page_id", F.col("pos").cast("bigint").alias("pos"), name.alias("name"), "url")
+    return (pieces.where(F.col("pos") >= 2)
+            .select("page_id", F.col("pos").cast("bigint").alias("pos"), name.alias("name"), "url")
             .where(F.col("name").isNotNull())
-            .withColumn("image_url", F.concat("url", F.lit("/"), "name"))
-            .withColumn("lot", F.floor((F.col("pos") - 2) / C.LOT_SIZE).cast("bigint"))
-            .drop("url"))
+            .withColumn("image_url", F.concat("url", F.lit("/"), "name")).drop("url"))
+
+
+def lots(items, n: int | None = None, lot_size: int = C.LOT_SIZE):
+    """``listing`` with the lot of each item, counted over the whole listing in
+    the order of (page_id, pos); the first ``n`` items if given."""
+    numbered = SC.numbered(items, ["page_id", "pos"], "number")
+    taken = numbered if n is None else numbered.where(F.col("number") < n)
+    return taken.withColumn("lot", F.floor(F.col("number") / lot_size).cast("bigint")).drop("number")
 
 
 @register("index_listing", "SELECT page_id, pos, name, image_url FROM (" + LISTING_SQL + ")", "S5,O10,X23,X3")
@@ -138,10 +148,34 @@ def index_listing_df(spark, sf_dir):
           "SELECT page_id, lot, count(*) AS n_images, min(pos) AS first_pos FROM (" + LISTING_SQL + ") GROUP BY page_id, lot",
           "W2")
 def image_lots_df(spark, sf_dir):
-    return (listing(spark, sf_dir).groupBy("page_id", "lot")
+    return (lots(listing(spark, sf_dir)).groupBy("page_id", "lot")
             .agg(F.count(F.lit(1)).alias("n_images"), F.min("pos").alias("first_pos")))
 
 
+# ---- listing -> lots -> scores ----------------------------------------------
+
+# A listed name has content if the vector that its characters name exists; the
+# key range is a quarter wider than the ids, so some names have none.
+LISTED_KEY_SQL = "((page_id * 31 + pos) % (n + n // 4 + 1))"
+
+LISTED_SQL = ("WITH " + SCORES_CTE.strip() + f""",
+listed AS (SELECT page_id, pos, name, lot, {LISTED_KEY_SQL} AS k
+           FROM ({LISTING_SQL}), (SELECT coalesce(max(vec_id), 0) + 1 AS n FROM embeddings))
+SELECT l.page_id, l.pos, l.name, l.lot, coalesce(n.label, '{C.NONE_LABEL}') AS label,
+       round(coalesce(n.prob, {C.NONE_SCORE}), 6) AS score
+FROM listed l LEFT JOIN named n ON n.vec_id = l.k AND n.rank <= {C.MAX_SCORE_LABELS}""")
+
+
+@register("listed_image_scores", LISTED_SQL, "S5,W2,S6,M9,O10,F14")
+def listed_image_scores_df(spark, sf_dir):
+    contents = tables.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("k"), "embedding")
+    n = (contents.agg(F.max("k")).first()[0] or 0) + 1
+    items = lots(listing(spark, sf_dir)).withColumn("k", F.pmod(F.col("page_id") * 31 + F.col("pos"), F.lit(n + n // 4 + 1)))
+    keys = items.select("k").distinct()
+    scored = SC.classify_images(keys, contents, model(spark, sf_dir), dictionary(spark, sf_dir), "k")
+    return (items.join(scored, "k").select("page_id", "pos", "name", "lot", "label", F.round("score", 6).alias("score")))
+
+
 # ---- label vocabulary and score features -----------------------------------
 
 @register("label_vocabulary",
@@ -192,10 +226,10 @@ SELECT (SELECT count(*) FROM (SELECT unnest(string_split_regex(text, '\\r\\n|\\r
 def dashboard_totals_df(spark, sf_dir):
     docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = T.lines_from_text(docs, "doc_id", "text")
-    c = classification(spark, sf_dir)
+    c = SC.materialize(classification(spark, sf_dir), "scores")
     n_tags = lines.agg(F.count(F.lit(1)).alias("n_original_tags"))
     n_img = c.agg(F.count_distinct("image").alias("n_images"))
-    top = T.most_frequent(label_counts_df(spark, sf_dir), "label", "count").select(F.col("label").alias("top_label"))
+    top = T.most_frequent(count_labels(c), "label", "count").select(F.col("label").alias("top_label"))
     out = n_tags.withColumn("_k", F.lit(0)).join(n_img.withColumn("_k", F.lit(0)), "_k") \
         .join(top.withColumn("_k", F.lit(0)), "_k", "left")
     return out.select("n_original_tags", "n_images", "top_label",

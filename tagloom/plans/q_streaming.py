@@ -3,11 +3,11 @@ over a post feed derived from ``events`` and returns what its sink holds."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..operators import scoring as SC
-from ..operators import tags as T
 from ..session import scratch_path
 from ..sources import tables
 from ..streaming import posts as P
@@ -19,10 +19,10 @@ posts AS (SELECT event_id AS id, ts,
                  concat_ws(' ', event_type, CASE WHEN value > 50 THEN 'photo' ELSE 'post' END, props) AS text,
                  CASE WHEN event_type = 'error' THEN 'video' ELSE 'photo' END AS p_type,
                  '{P.IMAGE_HOST}' || CASE WHEN user_id % 3 = 0 THEN 'tweet_video_thumb/' ELSE '' END
-                   || 'im' || (event_id % 997) || '.jpg' AS p_url,
+                   || 'im' || (event_id % n) || '.jpg' AS p_url,
                  event_type IN ('view', 'purchase') AS has_ext,
-                 '{P.IMAGE_HOST}ext/im' || ((event_id * 7 + 3) % 997) || '.jpg' AS e_url
-          FROM events),
+                 '{P.IMAGE_HOST}ext/im' || ((event_id * 7 + 3) % (n + n // 8 + 1)) || '.jpg' AS e_url
+          FROM events, (SELECT coalesce(max(vec_id), 0) + 1 AS n FROM embeddings)),
 kw AS (SELECT * FROM posts WHERE regexp_matches(lower(text), '\\bphoto\\b')),
 urls AS (SELECT id, ts, p_url AS url FROM kw WHERE p_type = 'photo' AND contains(p_url, 'tweet_video_thumb')
          UNION ALL SELECT id, ts, e_url FROM kw WHERE has_ext)"""
@@ -37,12 +37,15 @@ lines AS (SELECT url, label, CAST(printf('%.2f', prob * 100) AS DOUBLE) AS pct,
 
 def _feed(spark, sf_dir) -> str:
     """Writes the post feed (JSON files) derived from ``events``."""
-    events = tables.table(spark, sf_dir, "events")
     path = scratch_path(spark, "posts")
-    P.posts_from_events(events).write.mode("overwrite").json(path)
+    _posts(spark, sf_dir).write.mode("overwrite").json(path)
     return path
 
 
+def _posts(spark, sf_dir):
+    return P.posts_from_events(tables.table(spark, sf_dir, "events"), tables.table(spark, sf_dir, "embeddings"))
+
+
 def _static_inputs(spark, sf_dir):
     contents = tables.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return contents, SC.model_row(QS.model(spark, sf_dir)), QS.dictionary(spark, sf_dir)
@@ -85,7 +88,7 @@ def stream_top25_df(spark, sf_dir):
     lines_dir = _run_classification(spark, sf_dir)
     table = scratch_path(spark, "ranking")
     P.run_ranking_stream(spark, lines_dir, table, scratch_path(spark, "ranking-ckpt"))
-    return P.top_ranking(spark.read.parquet(table)).select("label", "n", "label_key")
+    return P.top_ranking(P.read_ranking(spark, table)).select("label", "n", "label_key")
 
 
 @register("label_recent40", STREAM_CTE + f"""
@@ -96,13 +99,11 @@ SELECT label, url, first_id FROM (
 WHERE rn <= {C.RECENT_PER_LABEL}""",
           "T9,W3,A14,F13")
 def label_recent40_df(spark, sf_dir):
-    feed_posts = P.posts_from_events(tables.table(spark, sf_dir, "events"))
+    feed_posts = _posts(spark, sf_dir)
     contents, model_row, dictionary = _static_inputs(spark, sf_dir)
     rows = P.classification_pipeline(feed_posts, contents, model_row, dictionary)
     firsts = rows.groupBy("label", "url").agg(F.min("id").alias("first_id"))
-    w_order = [F.desc("first_id"), F.desc("url")]
-    from pyspark.sql import Window
-    w = Window.partitionBy("label").orderBy(*w_order)
+    w = Window.partitionBy("label").orderBy(F.desc("first_id"), F.desc("url"))
     return (firsts.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") <= C.RECENT_PER_LABEL).drop("_rn"))
 
@@ -111,10 +112,7 @@ def label_recent40_df(spark, sf_dir):
 SELECT label, count(DISTINCT url) AS n_images, count(*) AS n_lines FROM srows GROUP BY label""",
           "F13,A14,A13")
 def label_drilldown_df(spark, sf_dir):
-    feed_posts = P.posts_from_events(tables.table(spark, sf_dir, "events"))
+    feed_posts = _posts(spark, sf_dir)
     contents, model_row, dictionary = _static_inputs(spark, sf_dir)
     rows = P.classification_pipeline(feed_posts, contents, model_row, dictionary)
     return rows.groupBy("label").agg(F.count_distinct("url").alias("n_images"), F.count(F.lit(1)).alias("n_lines"))
-
-
-del T

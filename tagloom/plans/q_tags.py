@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..functions import text as X
+from ..operators import features as FE
+from ..operators import langid as L
 from ..operators import tags as T
 from ..sources import standins, tables
 from . import sql_text as S
@@ -135,20 +137,26 @@ def tags_per_image_df(spark, sf_dir):
     return T.tags_per_image(T.normalized_tags(standins.tag_lines(spark, sf_dir)))
 
 
+# Documents of 100 whose lines the language model learns from.
+LANG_TRAIN_PERCENT = 20
+
 # ---- language identification and histogram (L1, X12, A2, J8, A12, X15) ----
 
 LANG_LINES_SQL = ("SELECT doc_id AS image, lang AS doc_lang, "
                   "unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS label, "
                   "generate_subscripts(string_split_regex(text, '\\r\\n|\\r|\\n'), 1) - 1 AS pos FROM documents")
 
+TRAIN_SQL = (f"(((image % {FE.SPLIT_MODULUS}) * {FE.SPLIT_MULTIPLIER} + {FE.SPLIT_OFFSET}) % 100) < {LANG_TRAIN_PERCENT} "
+             "AND doc_lang IS NOT NULL")
+
 LANG_CTE = f"""WITH lines AS ({LANG_LINES_SQL}),
 tris AS (SELECT image, pos, doc_lang, substr(' ' || lower(label) || ' ', i, 3) AS tri
          FROM lines, range(1, length(label) + 1) t(i) WHERE length(label) >= 1),
-counts AS (SELECT tri, doc_lang AS lang, count(*) AS c FROM tris GROUP BY tri, doc_lang),
+counts AS (SELECT tri, doc_lang AS lang, count(*) AS c FROM tris WHERE {TRAIN_SQL} GROUP BY tri, doc_lang),
 model AS (SELECT tri, lang, ln(c + 1.0) AS w FROM counts),
 vocab AS (SELECT count(DISTINCT tri) AS V FROM counts),
 totals AS (SELECT lang, sum(c) AS N FROM counts GROUP BY lang),
-priors AS (SELECT doc_lang AS lang, count(*) AS n_lines FROM lines GROUP BY doc_lang),
+priors AS (SELECT doc_lang AS lang, count(*) AS n_lines FROM lines WHERE {TRAIN_SQL} GROUP BY doc_lang),
 langs AS (SELECT p.lang, ln(p.n_lines / (SELECT sum(n_lines) FROM priors)) AS prior,
                  ln(coalesce(t.N, 0) + (SELECT V FROM vocab)) AS norm
           FROM priors p LEFT JOIN totals t USING (lang)),
@@ -169,10 +177,12 @@ def _language_lines(spark, sf_dir):
                        F.posexplode(F.split("text", T.LINE_BREAK)).alias("pos", "label"))
 
 
-def language_predictions(spark, sf_dir):
-    from ..operators import langid as L
+def language_predictions(spark, sf_dir, train_percent: int = LANG_TRAIN_PERCENT):
+    """Fits on the lines of a hash-chosen share of the labelled documents and
+    predicts every line."""
     lines = _language_lines(spark, sf_dir)
-    model, langs = L.train(lines.select("lang", "label"))
+    known = lines.where(FE.is_train(F.col("image"), train_percent) & F.col("lang").isNotNull())
+    model, langs = L.train(known.select("lang", "label"))
     return L.predict(lines.select("image", "pos", "label"), model, langs, ["image", "pos"])
 
 

@@ -31,9 +31,18 @@ def java_trim(x: str) -> str:
     return f"regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
 
 
+def _hangul(x: str) -> str:
+    """Hangul syllables as conjoining letters, by their arithmetic."""
+    n = "(unicode(c) - 44032)"
+    letters = (f"chr(4352 + {n} // 588) || chr(4449 + {n} % 588 // 28) || "
+               f"CASE WHEN {n} % 28 = 0 THEN '' ELSE chr(4519 + {n} % 28) END")
+    return (f"CASE WHEN regexp_matches({x}, '[가-힣]') THEN array_to_string(list_transform(string_split({x}, ''), "
+            f"lambda c: CASE WHEN c >= '가' AND c <= '힣' THEN {letters} ELSE c END), '') ELSE {x} END")
+
+
 def fold(x: str) -> str:
-    return (f"regexp_replace(strip_accents(lower({java_trim(x)})), "
-            f"'[\\p{{M}}\\p{{Lm}}\\p{{Sk}}]+', '', 'g')")
+    stripped = f"strip_accents(lower({java_trim(x)}))"
+    return f"regexp_replace({_hangul(stripped)}, '[\\p{{M}}\\p{{Lm}}\\p{{Sk}}]+', '', 'g')"
 
 
 def singular(x: str) -> str:

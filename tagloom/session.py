@@ -1,17 +1,21 @@
 """Spark session and checkpoint-folder helpers.
 
-Cluster settings win: nothing here overrides a value the session already has.
-The checkpoint folder is read from ``spark.checkpoint.dir``; a private folder is
-created only when the setting is absent (local runs and tests).
+Cluster settings win: nothing here overrides a value that was submitted or that
+a running session has.  The checkpoint folder is read from
+``spark.checkpoint.dir``; a private folder is made only for a local session
+without the setting, and without it a cluster session is refused.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -28,14 +32,27 @@ _DEFAULTS = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tagloom") -> SparkSession:
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    for key, value in _DEFAULTS.items():
-        builder = builder.config(key, value)
+    """A session with the defaults above wherever neither the submitted
+    configuration nor a running session has set a value."""
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        checkpoint_dir(running)
+        return running
+    wanted = dict(_DEFAULTS)
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("TAGLOOM_DRIVER_MEMORY", "16g"))
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if os.environ.get("TAGLOOM_DRIVER_MEMORY") or master:
+        wanted["spark.driver.memory"] = os.environ.get("TAGLOOM_DRIVER_MEMORY", "16g")
+    if master:
+        wanted["spark.master"] = master
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # started by spark-submit: read what it was given
+        SparkContext._ensure_initialized()
+    submitted = SparkConf()
+    arguments = os.environ.get("PYSPARK_SUBMIT_ARGS", "").replace("--driver-memory", "spark.driver.memory")
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in wanted.items():
+        if not submitted.contains(key) and key not in arguments:
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
@@ -43,13 +60,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and materialised intermediate tables."""
+    """Shared folder for checkpoints and materialised intermediate tables.
+
+    On a cluster it has to be set, as executors cannot see a folder of the
+    driver; a local session gets a private one, removed when Python ends."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tagloom-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

@@ -39,10 +39,13 @@ POST_SCHEMA = T.StructType([
 IMAGE_HOST = "https://pbs.example.net/media/"
 
 
-def posts_from_events(events: DataFrame, n_images: int = 997) -> DataFrame:
-    """Stand-in posts: one per event; media URLs name images 'im<k>'."""
+def posts_from_events(events: DataFrame, contents: DataFrame) -> DataFrame:
+    """Stand-in posts: one per event; media URLs name images 'im<k>' over the
+    whole id range of ``contents`` (vec_id), and in extended media an eighth
+    beyond it, which have no content."""
+    n_images = (contents.agg(F.max("vec_id")).first()[0] or 0) + 1
     k1 = F.pmod(F.col("event_id"), F.lit(n_images))
-    k2 = F.pmod(F.col("event_id") * 7 + 3, F.lit(n_images))
+    k2 = F.pmod(F.col("event_id") * 7 + 3, F.lit(n_images + n_images // 8 + 1))
     thumb = F.when(F.pmod(F.col("user_id"), F.lit(3)) == 0, F.lit("tweet_video_thumb/")).otherwise(F.lit(""))
     plain = F.array(F.struct(
         F.when(F.col("event_type") == "error", "video").otherwise("photo").alias("type"),
@@ -117,12 +120,16 @@ def classification_pipeline(posts: DataFrame, contents: DataFrame, model_row: Da
 def run_classification_stream(spark: SparkSession, posts_dir: str, contents: DataFrame, model_row: DataFrame,
                               dictionary: DataFrame, out_dir: str, checkpoint: str,
                               keyword: str | None = "photo", files_per_trigger: int = 8,
-                              scoring_partitions: int | None = None):
+                              scoring_partitions: int | None = None, trigger: dict | None = None):
     """Posts folder -> 'url|label|pct' text lines appended to ``out_dir``.
 
     ``scoring_partitions`` spreads the URL rows over that many tasks before
     the content join and scoring (the costly stage), like the reference's
-    per-stage parallelism; by default the source partitioning is kept."""
+    per-stage parallelism; by default the source partitioning is kept.
+
+    ``trigger``: arguments of ``DataStreamWriter.trigger``.  By default all that
+    is there is processed and the query ends; with another one, such as
+    ``{"processingTime": "10 seconds"}``, the running query is returned."""
     posts = spark.readStream.schema(POST_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).json(posts_dir)
     if scoring_partitions:
         urls = photo_urls(keyword_filter(posts, keyword)).repartition(scoring_partitions)
@@ -131,8 +138,16 @@ def run_classification_stream(spark: SparkSession, posts_dir: str, contents: Dat
         rows = classification_pipeline(posts, contents, model_row, dictionary, keyword)
     lines = rows.select(X.classification_line(F.col("url"), F.col("label"), F.col("prob")).alias("value"))
     query = (lines.writeStream.format("text").outputMode("append")
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_dir))
-    query.awaitTermination()
+             .option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start(out_dir))
+    return _awaited(query, trigger)
+
+
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def _awaited(query, trigger: dict | None):
+    if not trigger or "processingTime" not in trigger and "continuous" not in trigger:
+        query.awaitTermination()
     return query
 
 
@@ -142,19 +157,28 @@ def parse_lines(lines: DataFrame) -> DataFrame:
                         F.get(parts, 2).try_cast("double").alias("pct"))
 
 
-def run_ranking_stream(spark: SparkSession, lines_dir: str, table_dir: str, checkpoint: str):
+def run_ranking_stream(spark: SparkSession, lines_dir: str, table_dir: str, checkpoint: str,
+                       trigger: dict | None = None):
     """Live label counts over the appended lines (complete mode); each trigger
-    overwrites ``table_dir`` with the current counts."""
+    writes the current counts as a new version in ``table_dir``, which
+    ``read_ranking`` sees once it is whole.  ``trigger`` as above."""
     lines = spark.readStream.schema("value string").text(lines_dir)
     counts = parse_lines(lines).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
-    def publish(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_dir)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
 
     query = (counts.writeStream.outputMode("complete").foreachBatch(publish)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    query.awaitTermination()
-    return query
+             .option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start())
+    return _awaited(query, trigger)
+
+
+def read_ranking(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The latest published counts (label, n).  A version is one file, which
+    appears when it is committed, so readers never see part of one."""
+    versions = spark.read.parquet(table_dir)
+    latest = versions.agg(F.max("batch_id").alias("latest"))
+    return versions.join(F.broadcast(latest), F.col("batch_id") == F.col("latest")).drop("batch_id", "latest")
 
 
 def top_ranking(counts: DataFrame, n: int = C.RANKING_SIZE) -> DataFrame:

@@ -84,8 +84,8 @@ def test_stream_equals_batch(spark):
 
     events = tables.table(spark, SF_SMOKE, "events")
     feed = scratch_path(spark, "test-feed")
-    P.posts_from_events(events).write.json(feed)
     contents = tables.table(spark, SF_SMOKE, "embeddings").select("vec_id", "embedding")
+    P.posts_from_events(events, contents).write.json(feed)
     model_row = SC.model_row(QS.model(spark, SF_SMOKE))
     dictionary = QS.dictionary(spark, SF_SMOKE)
     out = scratch_path(spark, "test-lines")
@@ -98,6 +98,31 @@ def test_stream_equals_batch(spark):
     assert streamed == batch and len(batch) > 0
 
 
+def test_posts_name_every_image(spark):
+    events = spark.range(5000).select(F.col("id").alias("event_id"), (F.col("id") * 3).alias("user_id"), F.lit("view").alias("event_type"),
+                                      F.lit(99.0).alias("value"), F.lit("p").alias("props"), F.current_timestamp().alias("ts"))
+    contents = spark.range(2000).select(F.col("id").alias("vec_id"))
+    keys = {r.k for r in P.photo_urls(P.posts_from_events(events, contents)).select(P.url_key(F.col("url")).alias("k")).collect()}
+    assert set(range(2000)) <= keys and max(keys) > 2000
+
+
+def test_ranking_versions(spark):
+    from tagloom.session import scratch_path
+    lines, table = scratch_path(spark, "rank-lines"), scratch_path(spark, "rank-table")
+    ckpt = scratch_path(spark, "rank-ckpt")
+    for k in range(2):
+        spark.createDataFrame([("u|a|1.00",), (f"v|{'ab'[k]}|2.00",)], "value string").write.mode("append").text(lines)
+        P.run_ranking_stream(spark, lines, table, ckpt)
+    assert {r.label: r.n for r in P.read_ranking(spark, table).collect()} == {"a": 3, "b": 1}
+
+
+def test_numbered_counts_over_the_whole_listing(spark):
+    from tagloom.operators import scoring as SC
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5003).alias("a"), F.col("id").alias("b"))
+    rows = SC.numbered(df, ["a", "b"], "n").collect()
+    assert [r.n for r in sorted(rows, key=lambda r: (r.a, r.b))] == list(range(5000))
+
+
 def test_sentinel_for_missing_content(spark):
     from tagloom.operators import scoring as SC
     from tagloom.plans import q_scoring as QS

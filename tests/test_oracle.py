@@ -16,7 +16,8 @@ FAST = ["raw_tag_lines", "accent_fold", "singularize_words", "metadata_tag_rewri
         "bag_of_words", "one_vs_rest", "infer_labels_from_tags", "infer_tags_from_labels", "prediction_stats",
         "hit_rate", "delimited_roundtrip", "pair_json_roundtrip", "label_list_roundtrip", "original_tags_json",
         "label_dictionary", "file_key_parse", "stream_photo_urls", "stream_classification", "stream_top25",
-        "label_recent40", "label_drilldown", "score_batch_udf", "metadata_tag_tokens"]
+        "label_recent40", "label_drilldown", "score_batch_udf", "metadata_tag_tokens", "listed_image_scores",
+        "infer_labels_from_tags_depth8", "infer_tags_from_labels_depth8", "prediction_stats_depth8"]
 
 
 def _norm(v):

@@ -50,6 +50,23 @@ def test_fold_table_is_derived_and_single_char():
     assert "é" in src and dst[src.index("é")] == "e"
 
 
+@pytest.mark.parametrize("word,folded", [
+    ("ガーデン", "カテン"), ("한", "\u1112\u1161\u11ab"), ("가", "\u1100\u1161"), ("\uf900", "\u8c48"), ("\U0002f800", "\u4e3d"),
+    ("Ángström", "angstrom")])
+def test_fold_decomposes_every_script(spark, word, folded):
+    import duckdb
+
+    from tagloom.plans import sql_text as S
+    assert spark.createDataFrame([(word,)], "w string").select(X.fold(F.col("w"))).first()[0] == folded
+    assert duckdb.execute(f"SELECT {S.fold('w')} FROM (SELECT ? AS w)", [word]).fetchall()[0][0] == folded
+
+
+def test_unfinished_word_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(X, "tokenize_state", lambda x: F.array(X._entry(x, False)))
+    with pytest.raises(Exception, match="no fixpoint"):
+        spark.createDataFrame([("w",)], "w string").select(X.tokenize(F.col("w"))).collect()
+
+
 def test_stop_words_equal_the_published_list(spark):
     from pyspark.ml.feature import StopWordsRemover
     assert C.ENGLISH_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
