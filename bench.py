@@ -27,7 +27,9 @@ HEADLINE = [
     "label_top50",
     "index_listing",
     "image_lots",
+    "listed_image_scores",
     "infer_labels_from_tags",
+    "infer_labels_from_tags_depth8",
     "prediction_stats",
     "stream_classification",
     "stream_top25",

@@ -204,6 +204,42 @@ def tokenize(x: Column) -> Column:
     return F.transform(tokenize_state(x), lambda e: F.when(e["d"], e["s"]).otherwise(unfinished))
 
 
+# Words of ASCII letters, perhaps with a final dot, that no rewrite can touch.
+_PLAIN_WORD = "^[a-z]{2,}\\.?$"
+
+
+# What a singular rule can match in a word that does not end in s.
+_NOT_S = "(en|eople|ice|[ti]a|i)$|^oxen"
+
+
+def _untouched(s: Column) -> Column:
+    """True if only the singular rules can change a plain word."""
+    return ~s.contains("canon") & (s != "bw")
+
+
+def tokens(x: Column) -> Column:
+    """T(x) like ``tokenize``, without the rounds where they cannot matter.
+
+    For a plain word w (T(w.) = T(w): the dot becomes a space) each recursion
+    step is one singular step, so T(w) is w itself if no rule can change it, or
+    its singular if that is stable; all else takes the general way."""
+    def word(w):
+        end = w.endswith("s") | w.rlike(_NOT_S)
+
+        def changed(s):
+            stable = (s == singular(s)) & _untouched(s)
+            return (F.when(s == w, F.array(s)).when(F.length(s) < 2, F.array().cast("array<string>"))
+                    .when(stable, F.array(s)).otherwise(tokenize(x)))
+        return F.when(~end, F.array(w)).otherwise(_let(singular(w), changed))
+    bare = F.rtrim(x, F.lit("."))
+    return F.when(x.rlike(_PLAIN_WORD) & _untouched(bare), _let(bare, word)).otherwise(tokenize(x))
+
+
+def line_tokens(label: Column) -> Column:
+    """Distinct tokens of a tag line."""
+    return F.array_distinct(F.flatten(F.transform(F.array_distinct(expand_strings(label)), tokens)))
+
+
 def tokenize_state(x: Column) -> Column:
     """Like ``tokenize`` but keeps the ``d`` flags (for convergence checks)."""
     init = F.array(_entry(x, False))

@@ -32,7 +32,7 @@ def trigrams(text) -> F.Column:
 
 def _exploded(lines: DataFrame, key_cols: list[str]) -> DataFrame:
     s_len = F.length(F.col("label")) + 2
-    return (spread(lines.where(s_len >= 3), only_if_narrow=True)
+    return (spread(lines.where(s_len >= 3))
             .select(*key_cols, F.explode(trigrams(F.col("label"))).alias("tri")))
 
 
@@ -76,7 +76,7 @@ def predict(lines: DataFrame, model: DataFrame, langs: DataFrame, key_cols: list
     wide = wide.toDF("tri", *[f"w{i}" for i in range(len(codes))])
     # The line's length rides in the grouping key, and lines without a trigram
     # keep one row, so the lines are read once.
-    tris = spread(lines, only_if_narrow=True).select(
+    tris = spread(lines, *key_cols).select(
         *key_cols, F.length("label").alias("T"), F.explode_outer(trigrams(F.col("label"))).alias("tri"))
     scored = (tris.join(wide, "tri", "left")
               .groupBy(*key_cols, "T").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in range(len(codes))]))

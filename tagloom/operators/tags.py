@@ -2,16 +2,10 @@
 
 Plan shape (one Catalyst plan per output):
 
-    lines -> expand each line once: short lines once per distinct line
-             (joined back), long lines in place (no shuffle)
-          -> distinct (image, word)            [shuffle 1, map-side partial]
-          -> distinct word -> tokenize(word)   [shuffle 2, only the vocabulary]
-          -> join back on word                 [shuffle 3; AQE splits hot words]
-          -> stop words -> distinct (image, token)
-
-The costly recursive tokeniser therefore runs once per distinct word, not per
-occurrence; (image, word) is materialised once (checkpoint) and read by both
-join branches.
+    lines -> dealt out evenly                  [shuffle 1]
+          -> tokens of each line, in place; words that no rewrite can touch take
+             a short exact way
+          -> stop words -> distinct (image, token)   [shuffle 2, map-side partial]
 """
 
 from __future__ import annotations
@@ -22,7 +16,7 @@ from pyspark.sql import Window
 
 from ..functions import constants as C
 from ..functions import text as X
-from ..session import materialize, spread
+from ..session import spread
 
 LINE_BREAK = "\\r\\n|\\r|\\n"
 
@@ -32,42 +26,14 @@ def lines_from_text(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("image"), F.explode(F.split(F.col(text), LINE_BREAK)).alias("label"))
 
 
-# Lines up to this length are expanded once per distinct line (tags repeat a
-# lot and are cheap to shuffle); longer lines (prose, mostly unique) are
-# expanded in place, where a dedupe would only add a shuffle of the text.
-DEDUP_MAX_LEN = 64
-
-
-def line_words(lines: DataFrame, dedup_max_len: int = DEDUP_MAX_LEN) -> DataFrame:
-    """(image, word): children of the first recursion step of every line."""
-    # A narrow input (few file splits) is redistributed before the per-row
-    # work: the long lines are expanded where they are read and the short
-    # ones probe the expanded set where they are read.
-    short = spread(lines.where(F.length("label") <= dedup_max_len), only_if_narrow=True)
-    long = spread(lines.where(~(F.length("label") <= dedup_max_len) | F.col("label").isNull()),
-                  only_if_narrow=True)
-    # The distinct short lines are few bytes but costly per row; AQE would
-    # coalesce them by size into a few tasks, so they are spread first.
-    expanded = (spread(short.select("label").distinct())
-                .select("label", F.explode(X.expand_strings(F.col("label"))).alias("word")))
-    short_words = short.join(expanded, "label").select("image", "word")
-    long_words = long.select("image", F.explode(X.expand_strings(F.col("label"))).alias("word"))
-    return short_words.unionByName(long_words)
-
-
 def tokenize_lines(lines: DataFrame) -> DataFrame:
-    """(image, label) tag lines -> distinct (image, token), before stop words."""
-    kids = line_words(lines).distinct()
-    # Both branches below read (image, word); without a materialisation point
-    # Catalyst prunes them differently and the line-level expansion (the
-    # costliest regex work) would run twice.  A table written to the
-    # session's checkpoint folder computes it once and also cuts lineage.
-    kids = materialize(kids, "image-words")
-    # The vocabulary is small in bytes but costly per row; AQE would coalesce
-    # it by size into few tasks, so spread it over the full width first.
-    vocabulary = spread(kids.select("word").distinct())
-    word_tokens = vocabulary.select("word", F.explode(F.array_distinct(X.tokenize(F.col("word")))).alias("token"))
-    return kids.join(word_tokens, "word").select("image", "token")
+    """(image, label) tag lines -> (image, token), each once per line, before
+    stop words.
+
+    Every line is tokenised where it is: no vocabulary, no join on words.  The
+    regex work costs many times what moving a line does, so the lines are dealt
+    out evenly first, whatever the layout of the input files."""
+    return spread(lines, "image", "label").select("image", F.explode(X.line_tokens(F.col("label"))).alias("token"))
 
 
 def normalized_tags(lines: DataFrame) -> DataFrame:

@@ -115,18 +115,11 @@ def materialize(df, name: str):
     return df.checkpoint(eager=True)
 
 
-def spread(df, only_if_narrow: bool = False):
-    """Round-robin redistribution before CPU-heavy per-row work (regex chains,
-    trigram extraction).  Width: the session's shuffle partitions (at least the
-    default parallelism).
-
-    ``only_if_narrow`` is for raw input rows: at scale the scan is already split
-    into many file/row-group tasks and a shuffle of all the text would cost more
-    than it balances, so the rows are redistributed only when the input has
-    fewer partitions than the cluster has cores (a small file with one row group
-    is one task).  The check reads the planned partition count, not the data."""
+def spread(df, *keys: str):
+    """Deal the rows out evenly before CPU-heavy per-row work (regex chains,
+    trigram extraction), by a hash of ``keys``, which should be nearly unique,
+    or in turn.  Width: the session's shuffle partitions (at least the default
+    parallelism)."""
     spark = df.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    if only_if_narrow and df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(n)
+    return df.repartition(n, *keys)

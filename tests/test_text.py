@@ -118,14 +118,21 @@ def test_scalar_helpers(spark):
     assert row.line == "u|cat|12.35" and row.rate == 66.67 and row.flat == 12.0
 
 
-def test_spread_keeps_wide_inputs_and_all_rows(spark):
+def test_spread_deals_out_and_keeps_all_rows(spark):
     from tagloom.session import spread
-    width = spark.sparkContext.defaultParallelism
     narrow = spark.range(0, 1000, numPartitions=1)
-    wide = spark.range(0, 1000, numPartitions=width)
-    # A wide scan is left as it is (no shuffle of the raw rows) ...
-    assert spread(wide, only_if_narrow=True).rdd.getNumPartitions() == width
-    # ... a narrow one, and any set spread unconditionally, gets the full width.
-    assert spread(narrow, only_if_narrow=True).rdd.getNumPartitions() >= width
-    assert spread(narrow).rdd.getNumPartitions() >= width
-    assert sorted(r.id for r in spread(narrow, only_if_narrow=True).collect()) == list(range(1000))
+    for dealt in (spread(narrow), spread(narrow, "id")):
+        assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        assert sorted(r.id for r in dealt.collect()) == list(range(1000))
+
+
+def test_short_way_gives_the_same_tokens(spark, words):
+    odd = ["bw", "bw.", "bws", "canon", "canons", "as", "as.", "oxen", "buses", "ss", "series", "news.", "a", "men", "xs", "it.."]
+    every = words.union(spark.createDataFrame([(w,) for w in odd], "word string"))
+    import re
+    for w in ["children", "women", "people", "mice", "oxen", "oxenx", "data", "media", "octopi", "viri"]:
+        assert re.search(X._NOT_S, w)
+    kept = every.where(~F.col("word").endswith("s") & ~F.lower("word").rlike(X._NOT_S))
+    assert kept.where(X.singular(F.lower("word")) != F.lower("word")).collect() == []
+    different = every.select("word", X.tokens(F.col("word")).alias("a"), X.tokenize(F.col("word")).alias("b")).where("a <> b")
+    assert different.collect() == []
