@@ -113,7 +113,7 @@ def _words(spark, sf_dir):
     return docs.select(F.explode(F.split("text", "[ \\n]+")).alias("word")).distinct()
 
 
-@register("accent_fold", f"SELECT word, {S.fold('word')} AS folded FROM ({WORDS_SQL})", "X4,X5")
+@register("accent_fold", f"SELECT word, {S.fold_hangul('word')} AS folded FROM ({WORDS_SQL})", "X4,X5")
 def accent_fold_df(spark, sf_dir):
     return _words(spark, sf_dir).select("word", X.fold(F.col("word")).alias("folded"))
 

@@ -58,7 +58,7 @@ def test_fold_decomposes_every_script(spark, word, folded):
 
     from tagloom.plans import sql_text as S
     assert spark.createDataFrame([(word,)], "w string").select(X.fold(F.col("w"))).first()[0] == folded
-    assert duckdb.execute(f"SELECT {S.fold('w')} FROM (SELECT ? AS w)", [word]).fetchall()[0][0] == folded
+    assert duckdb.execute(f"SELECT {S.fold_hangul('w')} FROM (SELECT ? AS w)", [word]).fetchall()[0][0] == folded
 
 
 def test_unfinished_word_is_an_error(spark, monkeypatch):
