@@ -243,6 +243,37 @@ def test_neighbours_fill_the_window_of_their_seed():
     assert packing.sequence_lengths(15, 8) == [8, 4, 2, 1] and packing.sequence_lengths(0, 8) == []
 
 
+def test_shards_know_all_documents_and_hold_lexical_neighbours(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(8 * 60)]
+    texts = [" ".join(words[60 * topic + w] for w in rng.integers(0, 60, 80)) for topic in range(8) for _ in range(50)]
+    rows = [(int(i), texts[j]) for i, j in enumerate(rng.permutation(len(texts)))]
+    library = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    ids = {i: np.array(library.encode(t, add_special_tokens=False).ids + [2]) for i, t in rows}
+    encoded = spark.createDataFrame([(i, ids[i].astype("<u2").tobytes()) for i, _ in rows], "doc_id long, ids binary")
+    dealt, corpus = packing.routed(encoded, 50, "<u2", 50000)
+    assert corpus.mean == pytest.approx(np.mean([len(d) for d in ids.values()]))
+    df = sum(int(ids[0][0]) in d for d in ids.values())
+    assert corpus.idf[ids[0][0]] == pytest.approx(np.log1p((400 - df + 0.5) / (df + 0.5)))
+    some = [ids[i] for i in range(20)]
+    index = packing.Index(some, corpus)
+    term = int(some[3][0])
+    tf, norm = (some[3] == term).sum(), 1.2 * (0.25 + 0.75 * len(some[3]) / corpus.mean)
+    at = np.searchsorted(index.vocabulary, term)
+    mine = index.weight[index.start[at]:index.end[at]][index.doc[index.start[at]:index.end[at]] == 3]
+    assert mine[0] == pytest.approx(corpus.idf[term] * tf * 2.2 / (tf + norm))
+    shard = {r.doc_id: r.shard for r in dealt.select("doc_id", "shard").collect()}
+    sizes = collections.Counter(shard.values())
+    assert len(shard) == 400 and len(sizes) == 8 and max(sizes.values()) <= 75
+    whole = packing.Index([ids[i] for i in range(400)])
+    shared = []
+    for seed in range(0, 400, 8):
+        scores = whole.scores(seed)
+        scores[seed] = -1
+        shared += [shard[int(j)] == shard[seed] for j in np.argsort(-scores)[:10]]
+    assert np.mean(shared) > 0.5  # dealt by a hash: one in eight
+
+
 # ---- neighbours --------------------------------------------------------------
 
 def _exact(rows, k):
