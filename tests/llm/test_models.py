@@ -300,6 +300,22 @@ def test_neighbours_recall_and_exact_scores(spark):
     assert all(r.score == pytest.approx(float(np.dot(x[r.query_id], x[r.vec_id])), abs=1e-12) for rs in got.values() for r in rs)
 
 
+def test_neighbours_come_from_the_forest_alone(spark):
+    x = np.random.default_rng(6).normal(size=(8000, 16))
+    rows = [(i, x[i].tolist()) for i in range(8000)]
+    table, ask = spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 400 == 0
+    want = {q: set(np.argsort(-(x @ x[q]))[:21].tolist()) - {q} for q in range(0, 8000, 400)}
+
+    def recall(**settings):
+        got = collections.defaultdict(set)
+        for r in ann_forest.nearest(table, ask, **settings).collect():
+            got[r.query_id].add(r.vec_id)
+        assert got.keys() == want.keys() and all(len(g) == 20 for g in got.values())
+        return np.mean([len(got[q] & set(sorted(w, key=lambda i: -(x[i] @ x[q]))[:20])) / 20 for q, w in want.items()])
+    assert recall(sample=512) >= 0.9
+    assert recall(sample=16384, share=0.004) < 0.7  # a scan of the sample would find all
+
+
 def test_neighbours_cases(spark):
     same = [1.0, 2.0]
     rows = [(i, same) for i in range(60)] + [(100, [3.0, 1.0]), (101, None), (102, []), (103, [0.0, 0.0]), (104, [1.0, None]),
