@@ -49,6 +49,7 @@ DIM = 64
 PER_SHARD = 32
 MAX_SAMPLE = 1 << 17
 CELL = 8
+ROWS = 256
 SALTS = 1 << 30
 
 
@@ -177,6 +178,13 @@ def pieces(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None =
                 sequence, offset, size = sequence + 1, 0, next(lengths, 0)
 
 
+def _parts(batches):
+    """The batches in parts of ``ROWS`` rows, which bounds what a worker holds decoded."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _ids(column, type: str) -> list[np.ndarray]:
     return [np.frombuffer(b, type).astype("<u4") for b in column.to_pylist()]
 
@@ -184,7 +192,7 @@ def _ids(column, type: str) -> list[np.ndarray]:
 def _encode(definition, type: str):
     def encode(batches):
         ids = token_ids(definition.value).ids
-        for batch in batches:
+        for batch in _parts(batches):
             docs = [np.append(ids(t), np.uint32(END)).astype(type).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(docs, pa.binary())], names=["doc_id", "ids"])
     return encode
@@ -193,7 +201,7 @@ def _encode(definition, type: str):
 def _frequencies(type: str, n_terms: int):
     def count(batches):
         df, docs, tokens = np.zeros(n_terms, np.int64), 0, 0
-        for batch in batches:
+        for batch in _parts(batches):
             for d in _ids(batch.column("ids"), type):
                 df[np.unique(d)] += 1
                 docs, tokens = docs + 1, tokens + len(d)
@@ -204,7 +212,7 @@ def _frequencies(type: str, n_terms: int):
 
 def _project(corpus, type: str):
     def project(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             rows = projected(_ids(batch.column("ids"), type), corpus.value)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], names=["row"])
     return project
@@ -212,7 +220,7 @@ def _project(corpus, type: str):
 
 def _cells(corpus, router, type: str):
     def cells(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             cell = router.value.cells(projected(_ids(batch.column("ids"), type), corpus.value))
             yield pa.RecordBatch.from_arrays([pa.array(cell)], names=["cell"])
     return cells
@@ -224,7 +232,7 @@ def _route(corpus, router, sizes: np.ndarray, shards: int, type: str):
     ends = np.cumsum(sizes)
 
     def route(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             cell = router.value.cells(projected(_ids(batch.column("ids"), type), corpus.value))
             at = ends[cell] - sizes[cell] + sizes[cell] * (batch.column("salt").to_numpy() / SALTS)
             shard = np.minimum((at * shards / ends[-1]).astype(np.int64), shards - 1)
