@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import ann_forest, language_id, line_dedup, mixing, near_dedup, packing, quality_rules, secret_crf, token_count, url_filter
+from . import (ann_forest, conversation_repair, decontamination, language_id, line_dedup, mixing, near_dedup, packing,
+               quality_rules, secret_crf, spelling, token_count, url_filter)
 
 
 def tokenizer_file(name: str) -> str:
@@ -58,6 +59,24 @@ def mixture(spark, sf_dir):
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def conversation_repairs(spark, sf_dir):
+    return conversation_repair.report(conversation_repair.damaged(table(spark, sf_dir, "conversations")), "gone").select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def leaks(spark, sf_dir):
+    found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def spellings(spark, sf_dir):
+    runs = spelling.runs(table(spark, sf_dir, "documents"))
+    words = runs.select(spelling.slipped(F.col("doc_id"), F.col("run")).alias("word"))
+    return spelling.variants(spelling.vocabulary(words))
+
+
 QUERIES = {
     "op1_near_dedup": near_duplicates,
     "op2_language_id": languages,
@@ -69,6 +88,9 @@ QUERIES = {
     "op8_url_filters": url_filters,
     "op9_line_dedup": line_dedups,
     "op10_mixing": mixture,
+    "op11_conversation_repair": conversation_repairs,
+    "op12_decontamination": leaks,
+    "op13_spelling_variants": spellings,
 }
 
 _LIT = lambda s: "'" + s.replace("'", "''") + "'"
@@ -139,7 +161,27 @@ FROM l LEFT JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.bare = b.
 GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL"""
 
+LEAK_SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+w AS (SELECT DISTINCT item_id, least(len(ws), {decontamination.SIZE}) AS k,
+             array_to_string(ws[i:i + least(len(ws), {decontamination.SIZE}) - 1], ' ') AS g
+      FROM b, unnest(range(1, greatest(len(ws) - {decontamination.SIZE - 1}, 1) + 1)) AS t(i) WHERE len(ws) > 0),
+dw AS (SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS g
+       FROM d, (SELECT DISTINCT k FROM w), unnest(range(1, greatest(len(ws) - k + 2, 1))) AS t(i)),
+hits AS (SELECT doc_id, item_id, i, k FROM dw JOIN w USING (k, g)),
+per_item AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                    string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+             FROM hits GROUP BY doc_id),
+per_word AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN per_item USING (doc_id) LEFT JOIN per_word USING (doc_id)"""
+
 ORACLE_SQL = {
+    "op12_decontamination": LEAK_SQL,
     "op3_quality_rules": QUALITY_SQL,
     "op8_url_filters": URL_SQL,
     "op9_line_dedup": LINE_SQL,

@@ -36,18 +36,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from each start to its end."""
+    power, inverse = _powers(len(data) + 1)
+    total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], dtype=np.uint64)])
+    return mix((total[end] - total[start]) * inverse[start])
+
+
 def _words(data: np.ndarray, starts_of_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of every word of the concatenated texts."""
     n = len(data)
-    power, inverse = _powers(n + 1)
     space = _SPACE[data]
     edge = np.zeros(n + 1, bool)
     edge[starts_of_text] = edge[n] = True
     before = np.concatenate([[True], space[:-1]]) | edge[:-1]
     after = np.concatenate([space[1:], [True]]) | edge[1:]
     start, end = np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
-    total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], dtype=np.uint64)])
-    return mix((total[end] - total[start]) * inverse[start]), start
+    return word_hashes(data, start, end), start
 
 
 def _blocks(texts: pa.Array):
