@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions import constants as C
 from ..functions import text as X
@@ -86,9 +85,3 @@ def rescaled_counts(counts: DataFrame, count: str, out: str = "size") -> DataFra
     return (counts.withColumn("_k", F.lit(0)).join(F.broadcast(bounds), "_k")
             .withColumn(out, X.rescale(F.col(count), F.col("_lo"), F.col("_hi")))
             .drop("_lo", "_hi", "_k"))
-
-
-def latest_per_key(df: DataFrame, key: str, order: str, n: int) -> DataFrame:
-    """Last ``n`` rows per key by ``order`` (window partitioned by key)."""
-    w = Window.partitionBy(key).orderBy(F.desc(order))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

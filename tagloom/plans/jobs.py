@@ -14,7 +14,7 @@ import logging
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
@@ -62,12 +62,12 @@ def tag_analysis_job(spark: SparkSession, raw_lines: DataFrame, scores: DataFram
     paths["all_tags"] = out + "user_tags/labels"
     sinks.write_text(counts.select("label_normalized"), paths["all_tags"], files=files)
     paths["tags_images"] = out + "user_tags/labels-images"
-    sinks.write_json(tags.select(F.col("image").cast("bigint").alias("id"), F.col("label_normalized").alias("label"))
-                     .orderBy("id"), paths["tags_images"], files=files)
+    sinks.write_json(tags.select(F.col("image").cast("bigint").alias("id"), F.col("label_normalized").alias("label")),
+                     paths["tags_images"], files, order=["id"])
     paths["tag_analysis"] = out + "user_tags/analisis"
     sinks.write_delimited(counts, paths["tag_analysis"], "~", files=files)
     paths["original"] = out + "user_tags/original"
-    sinks.write_json(T.original_tags(raw), paths["original"], files=files)
+    sinks.write_json(raw.select(F.col("image").cast("bigint").alias("id"), "label"), paths["original"], files, order=["id"])
     _stamp("tags written")
     label_counts = (scores.where(F.col("label") != C.NONE_LABEL).groupBy("label")
                     .agg(F.count(F.lit(1)).alias("count")).persist(StorageLevel.MEMORY_AND_DISK))
@@ -107,26 +107,24 @@ def inference_job(spark: SparkSession, feature_pairs: DataFrame, target_pairs: D
 
     feature_pairs (id, label[, score]); target_pairs (id, label).  Binary
     bag-of-words features when ``binary_features``, else the pair's score
-    over the sorted label vocabulary.  Writes predictions and statistics."""
+    over the sorted label vocabulary, in quantile bins.  Writes predictions and statistics."""
     out = _dir(out_dir)
     ids = FE.common_ids(target_pairs, feature_pairs)
     fp = feature_pairs.join(ids, "id", "left_semi")
     if binary_features:
         feats = FE.bag_of_words(fp.select("id", "label"), FE.term_vocabulary(fp.select("id", "label")))
-        thresholds = TR.BINARY_THRESHOLDS
+        binned = TR.fixed_bins(feats, TR.BINARY_THRESHOLDS)
     else:
-        vocab = fp.select("label").distinct().withColumn(
-            "f", (F.row_number().over(Window.orderBy("label")) - 1).cast("bigint"))
-        feats = (fp.join(F.broadcast(vocab), "label").groupBy("id", "f").agg(F.max("score").alias("v")))
-        thresholds = TR.SCORE_THRESHOLDS
-    targets = FE.targets_table(ids, target_pairs, target_labels)
-    _, assign = TR.train_and_assign(targets, feats, thresholds, depth)
-    preds = TR.predicted_pairs(TR.leaf_predictions(assign)).persist(StorageLevel.MEMORY_AND_DISK)
+        vocab = SC.numbered(fp.select("label").distinct(), ["label"], "f")
+        feats = fp.join(vocab, "label").groupBy("id", "f").agg(F.max("score").alias("v"))
+        binned = TR.quantile_bins(feats, ids.where(FE.is_train(F.col("id"))))
+    targets = TR.target_list(target_labels)
+    images = TR.image_rows(ids, binned, target_pairs, targets)
+    preds = TR.predicted_pairs(TR.train(images, targets, depth), images, depth).persist(StorageLevel.MEMORY_AND_DISK)
     pred_path, stats_path = out + "predicciones", out + "estadisticas"
     sinks.write_json(preds, pred_path)
-    test_ids = targets.where(~F.col("train")).select("id").distinct()
+    test_ids = images.where(~F.col("train")).select("id")
     stats = TR.prediction_statistics(preds, target_pairs.join(test_ids, "id", "left_semi"))
     sinks.write_json(stats, stats_path, files=3)
     preds.unpersist()
     return pred_path, stats_path
-

@@ -53,20 +53,19 @@ def top_model_labels(scores):
 
 
 def direction_tags_to_labels(spark, sf_dir):
-    """(features, targets, truth) with user tags as features, model labels as targets."""
+    """(features, truth, target labels, vocabulary, ids) with user tags as
+    features, model labels as targets."""
     scores = scores_once(spark, sf_dir)
     tags = tag_pairs(spark, sf_dir)
     labels = scores.select(X.image_number(F.col("image")).alias("id"), "label")
     ids = FE.common_ids(labels, tags)
     tags_j = tags.join(ids, "id", "left_semi")
     vocab = FE.term_vocabulary(tags_j)
-    feats = FE.bag_of_words(tags_j, vocab)
-    top = top_model_labels(scores).select("label")
-    return feats, FE.targets_table(ids, labels, top), labels, vocab, ids
+    return FE.bag_of_words(tags_j, vocab), labels, top_model_labels(scores).select("label"), vocab, ids
 
 
 def direction_labels_to_tags(spark, sf_dir):
-    """(features, targets, truth) with model scores as features, user tags as targets."""
+    """The same with model scores as features, user tags as targets."""
     processed = normalized_tags(spark, sf_dir)
     tags = tag_pairs(spark, sf_dir, processed)
     scores = scores_once(spark, sf_dir)
@@ -76,24 +75,26 @@ def direction_labels_to_tags(spark, sf_dir):
              .select(F.col("imagen").alias("id"), F.col("idx").alias("f"), F.col("score").alias("v"))
              .join(ids, "id", "left_semi"))
     top = T.top_tags(T.tag_counts(processed)).select(F.col("label_normalized").alias("label"))
-    return feats, FE.targets_table(ids, tags, top), tags, None, ids
+    return feats, tags, top, None, ids
 
 
-def forest_predictions(spark, sf_dir, direction, depth):
-    feats, targets, truth, _, _ = direction(spark, sf_dir)
-    thresholds = TR.BINARY_THRESHOLDS if direction is direction_tags_to_labels else TR.SCORE_THRESHOLDS
-    _, assign = TR.train_and_assign(targets, feats, thresholds, depth)
-    return TR.leaf_predictions(assign)
+def forest_predictions(spark, sf_dir, direction, depth, quantiles: bool = False):
+    """(predicted pairs, truth, image rows)."""
+    feats, truth, top, _, ids = direction(spark, sf_dir)
+    if quantiles:
+        binned = TR.quantile_bins(feats, ids.where(FE.is_train(F.col("id"))))
+    else:
+        binned = TR.fixed_bins(feats, TR.BINARY_THRESHOLDS if direction is direction_tags_to_labels else TR.SCORE_THRESHOLDS)
+    targets = TR.target_list(top)
+    images = TR.image_rows(ids, binned, truth, targets)
+    forest = TR.train(images, targets, depth)
+    return TR.predicted_pairs(forest, images, depth), truth, images
 
 
 def statistics(spark, sf_dir, direction, depth):
-    feats, targets, truth, _, _ = direction(spark, sf_dir)
-    thresholds = TR.BINARY_THRESHOLDS if direction is direction_tags_to_labels else TR.SCORE_THRESHOLDS
-    _, assign = TR.train_and_assign(targets, feats, thresholds, depth)
-    preds = TR.predicted_pairs(TR.leaf_predictions(assign))
-    test_ids = targets.where(~F.col("train")).select("id").distinct()
-    truth_test = truth.join(test_ids, "id", "left_semi")
-    return TR.prediction_statistics(preds, truth_test)
+    predicted, truth, images = forest_predictions(spark, sf_dir, direction, depth)
+    test_ids = images.where(~F.col("train")).select("id")
+    return TR.prediction_statistics(predicted, truth.join(test_ids, "id", "left_semi"))
 
 
 # ---- SQL side ---------------------------------------------------------------
@@ -177,6 +178,29 @@ def forest_cte(p: str, tgt: str, feat: str, thresholds: list[float], depth: int)
   WHERE NOT a.train AND l.prediction = 1)"""
 
 
+# Scores in bins of equal shares of the training rows (trees.quantile_thresholds);
+# the bin takes the place of the score.
+QUANTILE_CTE = f""",
+q_rows AS (SELECT count(*) AS total FROM ids WHERE {_bucket('id')} < {C.TRAIN_PERCENT}),
+q_cells AS (SELECT f, CAST(ceil(v * {TR.SCORE_CELLS}) AS BIGINT) AS cell, count(*) AS n FROM feat_b
+            WHERE {_bucket('id')} < {C.TRAIN_PERCENT} GROUP BY 1, 2),
+q_all AS (SELECT f, cell, sum(n) AS n FROM (SELECT * FROM q_cells UNION ALL
+          SELECT f, 0, any_value(total) - sum(n) FROM q_cells, q_rows GROUP BY f) GROUP BY f, cell),
+q_upto AS (SELECT f, cell, n, sum(n) OVER (PARTITION BY f ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+           FROM q_all),
+q_thresholds AS (SELECT f, cell FROM q_upto, q_rows
+                 WHERE least({TR.QUANTILES - 1}, upto * {TR.QUANTILES} // total)
+                       > least({TR.QUANTILES - 1}, (upto - n) * {TR.QUANTILES} // total)),
+feat_q AS (SELECT id, f, CAST(count(*) AS DOUBLE) AS v FROM feat_b JOIN q_thresholds USING (f)
+           WHERE cell < ceil(v * {TR.SCORE_CELLS}) GROUP BY id, f)"""
+BIN_THRESHOLDS = [b + 0.5 for b in range(TR.QUANTILES - 1)]
+
+
+def _quantile_sql(depth: int) -> str:
+    return (BASE_CTE + QUANTILE_CTE + forest_cte("q", "tgt_b", "feat_q", BIN_THRESHOLDS, depth)
+            + "\nSELECT id, label FROM q_pred")
+
+
 def _forests(depth: int) -> tuple[str, str]:
     """SQL up to the predictions of both directions."""
     return (BASE_CTE + forest_cte("a", "tgt_a", "feat_a", TR.BINARY_THRESHOLDS, depth),
@@ -216,18 +240,18 @@ def bag_of_words_df(spark, sf_dir):
 
 @register("one_vs_rest", BASE_CTE + "\nSELECT target, id, y, train FROM tgt_a", "J10,M4,X21,P11,D5")
 def one_vs_rest_df(spark, sf_dir):
-    _, targets, _, _, _ = direction_tags_to_labels(spark, sf_dir)
-    return targets
+    _, truth, top, _, ids = direction_tags_to_labels(spark, sf_dir)
+    return FE.targets_table(ids, truth, top)
 
 
 @register("infer_labels_from_tags", A_CTE + "\nSELECT id, label FROM a_pred", "J1,M6,A16,M7,F6,P10,U1 (depth 1)")
 def infer_labels_from_tags_df(spark, sf_dir):
-    return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_tags_to_labels, 1))
+    return forest_predictions(spark, sf_dir, direction_tags_to_labels, 1)[0]
 
 
 @register("infer_tags_from_labels", B_CTE + "\nSELECT id, label FROM b_pred", "J2,M2,M6,A16,M7,F6,U1 (depth 1)")
 def infer_tags_from_labels_df(spark, sf_dir):
-    return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_labels_to_tags, 1))
+    return forest_predictions(spark, sf_dir, direction_labels_to_tags, 1)[0]
 
 
 @register("prediction_stats",
@@ -255,12 +279,12 @@ def hit_rate_df(spark, sf_dir):
 
 @register("infer_labels_from_tags_depth8", A8_CTE + "\nSELECT id, label FROM a_pred", "M5,M6 depth 8,M7,U1")
 def infer_labels_depth8_df(spark, sf_dir):
-    return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_tags_to_labels, C.TREE_DEPTH))
+    return forest_predictions(spark, sf_dir, direction_tags_to_labels, C.TREE_DEPTH)[0]
 
 
 @register("infer_tags_from_labels_depth8", B8_CTE + "\nSELECT id, label FROM b_pred", "M5,M6 depth 8,M7,U1")
 def infer_tags_depth8_df(spark, sf_dir):
-    return TR.predicted_pairs(forest_predictions(spark, sf_dir, direction_labels_to_tags, C.TREE_DEPTH))
+    return forest_predictions(spark, sf_dir, direction_labels_to_tags, C.TREE_DEPTH)[0]
 
 
 @register("prediction_stats_depth8", A8_CTE + _stats_sql("a", "tgt_a", "model_pairs") + "\nSELECT * FROM a_statsout",
@@ -269,6 +293,16 @@ def prediction_stats_depth8_df(spark, sf_dir):
     return statistics(spark, sf_dir, direction_tags_to_labels, C.TREE_DEPTH)
 
 
+@register("infer_tags_quantile_bins", _quantile_sql(1), "M5 (quantile bins),M2,M6 (depth 1)")
+def infer_tags_quantile_df(spark, sf_dir):
+    return forest_predictions(spark, sf_dir, direction_labels_to_tags, 1, True)[0]
+
+
+@register("infer_tags_quantile_bins_depth8", _quantile_sql(C.TREE_DEPTH), "M5 (quantile bins),M2,M6 depth 8")
+def infer_tags_quantile_depth8_df(spark, sf_dir):
+    return forest_predictions(spark, sf_dir, direction_labels_to_tags, C.TREE_DEPTH, True)[0]
+
+
 # ---- MLlib path (M5): one DecisionTreeClassifier per target, as the reference ----
 
 def mllib_predictions(spark, sf_dir, max_depth: int = C.TREE_DEPTH):

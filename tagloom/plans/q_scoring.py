@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
+from ..operators import model_store as MS
 from ..operators import scoring as SC
 from ..operators import tags as T
 from ..sources import tables
@@ -41,8 +42,10 @@ classification AS (
 
 
 def model(spark, sf_dir):
-    emb = tables.table(spark, sf_dir, "embeddings").select("embedding", "label")
-    return SC.centroid_model(emb)
+    """The centroid model of ``embeddings``: fitted once, then loaded by every query."""
+    emb = tables.table(spark, sf_dir, "embeddings")
+    return MS.stored(spark, "centroids", MS.training_version(emb, MEAN, SCALE),
+                     lambda: SC.centroid_model(emb.select("embedding", "label")))
 
 
 def dictionary(spark, sf_dir):
@@ -267,7 +270,7 @@ def batch_scorer(model_df, batch_size: int = C.LOT_SIZE):
     nodes = [int(c["node"]) for c in classes]
     udf = predict_batch_udf(make_predict_fn, return_type=TT.ArrayType(TT.DoubleType()),
                             batch_size=batch_size, input_tensor_shapes=[[centroids.shape[1]]])
-    return udf, nodes
+    return udf, nodes, centroids.shape[1] if len(nodes) else 0
 
 
 @register("score_batch_udf",
@@ -277,13 +280,19 @@ WHERE rank <= {C.MAX_SCORE_LABELS}""",
           "M9,V3,S14,W1 (Arrow batches)")
 def score_batch_udf_df(spark, sf_dir):
     emb = tables.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    udf, nodes = batch_scorer(model(spark, sf_dir))
+    return batch_scored(emb, model(spark, sf_dir), dictionary(spark, sf_dir))
+
+
+def batch_scored(emb, model_df, names):
+    """(image, rank, label, score); vectors that the model cannot score (null, of
+    another length, with a null or a NaN) get no rows, as in ``score_vectors``."""
+    udf, nodes, dim = batch_scorer(model_df)
     node_arr = F.array(*[F.lit(n) for n in nodes])
     probs = F.zip_with(node_arr, F.col("p"), lambda n, p: F.struct(n.alias("node"), p.alias("prob")))
-    scored = (emb.where(F.col("embedding").isNotNull()).withColumn("p", udf(F.col("embedding")))
+    scored = (emb.where(SC.valid_vector(F.col("embedding"), F.lit(dim))).withColumn("p", udf(F.col("embedding")))
               .select("vec_id", F.posexplode(SC.top_k(probs, C.MAX_SCORE_LABELS)).alias("pos", "t"))
               .select("vec_id", (F.col("pos") + 1).cast("bigint").alias("rank"), F.col("t.node").alias("node"),
                       F.col("t.prob").alias("prob")))
-    named = SC.name_nodes(scored, dictionary(spark, sf_dir))
+    named = SC.name_nodes(scored, names)
     return named.select(F.concat(F.lit("im"), F.col("vec_id").cast("string")).alias("image"), "rank", "label",
                         F.round("prob", 6).alias("score"))

@@ -3,7 +3,6 @@ over a post feed derived from ``events`` and returns what its sink holds."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
@@ -11,6 +10,7 @@ from ..operators import scoring as SC
 from ..session import scratch_path
 from ..sources import tables
 from ..streaming import posts as P
+from ..streaming import recent as R
 from . import q_scoring as QS
 from .registry import register
 
@@ -91,26 +91,83 @@ def stream_top25_df(spark, sf_dir):
     return P.top_ranking(P.read_ranking(spark, table)).select("label", "n", "label_key")
 
 
-@register("label_recent40", STREAM_CTE + f"""
+RECENT_SQL = f"""
 SELECT label, url, first_id FROM (
   SELECT label, url, first_id,
          row_number() OVER (PARTITION BY label ORDER BY first_id DESC, url DESC) AS rn
   FROM (SELECT label, url, min(id) AS first_id FROM srows GROUP BY label, url))
-WHERE rn <= {C.RECENT_PER_LABEL}""",
-          "T9,W3,A14,F13")
+WHERE rn <= {C.RECENT_PER_LABEL}"""
+
+
+@register("label_recent40", STREAM_CTE + RECENT_SQL, "W3,A14 (batch)")
 def label_recent40_df(spark, sf_dir):
-    feed_posts = _posts(spark, sf_dir)
     contents, model_row, dictionary = _static_inputs(spark, sf_dir)
-    rows = P.classification_pipeline(feed_posts, contents, model_row, dictionary)
-    firsts = rows.groupBy("label", "url").agg(F.min("id").alias("first_id"))
-    w = Window.partitionBy("label").orderBy(F.desc("first_id"), F.desc("url"))
-    return (firsts.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= C.RECENT_PER_LABEL).drop("_rn"))
+    return R.latest(R.first_posts(P.classification_pipeline(_posts(spark, sf_dir), contents, model_row, dictionary)))
+
+
+def _run_recent(spark, sf_dir) -> str:
+    """The post feed in two deliveries, the later posts first; the stream stops
+    after each and starts again on its checkpoint."""
+    feed, table, checkpoint = (scratch_path(spark, n) for n in ("recent-posts", "recent", "recent-ckpt"))
+    contents, model_row, dictionary = _static_inputs(spark, sf_dir)
+    posts = _posts(spark, sf_dir)
+    for delivery in (1, 0):
+        posts.where(F.pmod("id", F.lit(2)) == delivery).write.mode("append").json(feed)
+        R.run_recent_stream(spark, feed, contents, model_row, dictionary, table, checkpoint, files_per_trigger=64)
+    return table
+
+
+@register("label_recent40_stream", STREAM_CTE + RECENT_SQL, "T9,T10,W3,A14")
+def label_recent40_stream_df(spark, sf_dir):
+    return R.read_recent(spark, _run_recent(spark, sf_dir))
+
+
+@register("label_latest_images", STREAM_CTE + f""",
+top AS (SELECT label FROM lines GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)
+SELECT url, first_id FROM ({RECENT_SQL}) WHERE label = (SELECT label FROM top)""",
+          "F13,T9 (one label, picked from the live ranking)")
+def label_latest_images_df(spark, sf_dir):
+    lines_dir, ranking = _run_classification(spark, sf_dir), scratch_path(spark, "ranking")
+    P.run_ranking_stream(spark, lines_dir, ranking, scratch_path(spark, "ranking-ckpt"))
+    picked = P.read_ranking(spark, ranking).orderBy(F.desc("n"), "label").first()
+    ring = _run_recent(spark, sf_dir)
+    return R.read_recent(spark, ring, picked["label"] if picked else "").select("url", "first_id")
+
+
+# Deliveries of the deduplication feed: all posts, with the odd ones twice; a
+# post of another year, which moves the watermark; then late posts of the first
+# year (dropped) and posts of the other one, whose URLs count again.
+DEDUP_DELAY = "400 days"
+LATER = "1500 days"
+DEDUP_SQL = "WITH " + POSTS_CTE.strip() + f""",
+later AS (SELECT DISTINCT url FROM urls WHERE id % 2 = 0)
+SELECT url, CAST(0 AS BIGINT) AS wave FROM (SELECT DISTINCT url FROM urls)
+UNION ALL SELECT '{P.IMAGE_HOST}tick.jpg', 1 FROM (SELECT count(*) AS n FROM urls) WHERE n > 0
+UNION ALL SELECT url, CAST(1 AS BIGINT) FROM later"""
+
+
+@register("distinct_photo_urls", DEDUP_SQL, "T11 (deduplication within a watermark)")
+def distinct_photo_urls_df(spark, sf_dir):
+    feed, out, checkpoint = (scratch_path(spark, n) for n in ("dedup-posts", "dedup-urls", "dedup-ckpt"))
+    posts = _posts(spark, sf_dir)
+    later = posts.withColumn("ts", F.col("ts") + F.expr(f"interval {LATER}"))
+    photo = F.array(F.struct(F.lit("photo").alias("type"), F.lit(P.IMAGE_HOST + "tick.jpg").alias("media_url_https")))
+    tick = later.orderBy("id").limit(1).select(
+        F.lit(-1).cast("bigint").alias("id"), "ts", F.lit("photo").alias("text"),
+        F.struct(F.lit(None).cast(P.MEDIA).alias("media")).alias("entities"), F.struct(photo.alias("media")).alias("extended_entities"))
+    first = posts.agg(F.min("ts")).first()[0]
+    odd, even = (posts.where(F.pmod("id", F.lit(2)) == k) for k in (1, 0))
+    deliveries = [posts.unionByName(odd), tick, even.unionByName(odd).unionByName(later.where(F.pmod("id", F.lit(2)) == 0))]
+    for rows in deliveries:
+        rows.write.mode("append").json(feed)
+        R.run_distinct_url_stream(spark, feed, out, checkpoint, DEDUP_DELAY)
+    wave = (F.col("ts") >= F.lit(first) + F.expr(f"interval {DEDUP_DELAY}")).cast("bigint")
+    return spark.read.schema("id bigint, ts timestamp, url string").parquet(out).select("url", wave.alias("wave"))
 
 
 @register("label_drilldown", STREAM_CTE + """
 SELECT label, count(DISTINCT url) AS n_images, count(*) AS n_lines FROM srows GROUP BY label""",
-          "F13,A14,A13")
+          "A14,A13")
 def label_drilldown_df(spark, sf_dir):
     feed_posts = _posts(spark, sf_dir)
     contents, model_row, dictionary = _static_inputs(spark, sf_dir)

@@ -191,6 +191,14 @@ def language_identify_df(spark, sf_dir):
     return language_predictions(spark, sf_dir).select("image", F.col("pos").cast("bigint").alias("pos"), "lang")
 
 
+def language_counts(spark, sf_dir):
+    """(idioma, count): lines per predicted language."""
+    return language_predictions(spark, sf_dir).groupBy(F.col("lang").alias("idioma")).agg(F.count(F.lit(1)).alias("count"))
+
+
+LANG_COUNTS_SQL = LANG_CTE + "\nSELECT lang AS idioma, count(*) AS count FROM best GROUP BY lang"
+
+
 def _names_sql() -> str:
     return "(VALUES " + ", ".join(f"({S.q(c)}, {S.q(n)})" for c, n in C.LANGUAGE_NAMES) + ") AS names(code, name)"
 
@@ -203,8 +211,7 @@ SELECT h.idioma, h.count, names.name,
 FROM hist h LEFT JOIN {_names_sql()} ON names.code = h.idioma""",
           "A2,K5,S11,J8,A12,X15")
 def language_histogram_df(spark, sf_dir):
-    preds = language_predictions(spark, sf_dir)
-    hist = preds.groupBy(F.col("lang").alias("idioma")).agg(F.count(F.lit(1)).alias("count"))
+    hist = language_counts(spark, sf_dir)
     names = spark.createDataFrame(C.LANGUAGE_NAMES, "code string, name string")
     named = hist.join(F.broadcast(names), hist.idioma == names.code, "left").drop("code")
     return T.rescaled_counts(named, "count", "size")

@@ -1,7 +1,7 @@
 """Query registry: name -> (Spark builder, DuckDB oracle SQL or None).
 
-Every builder takes (spark, sf_dir) and returns a lazy DataFrame over the
-whole driver tables.  Column names match the oracle SQL exactly.
+Every builder takes (spark, sf_dir) and returns a DataFrame over the whole
+driver tables; builders that fit a model, checkpoint or run a stream do so at once.  Column names match the oracle SQL exactly.
 """
 
 from __future__ import annotations
@@ -36,5 +36,5 @@ def register(name: str, sql: str | None, operators: str):
 
 def load_all() -> dict[str, Query]:
     # Importing the modules fills REGISTRY.
-    from . import q_tags, q_scoring, q_inference, q_streaming, q_io  # noqa: F401
+    from . import q_files, q_inference, q_io, q_scoring, q_streaming, q_tags  # noqa: F401
     return REGISTRY

@@ -1,28 +1,47 @@
 """Writers of the reference's output datasets.
 
 All writes overwrite the target only (never a parent folder).  ``files`` sets
-the number of output files with ``coalesce`` (no shuffle); a global sort
-before it keeps rows ordered within each file.
+the number of output files: the rows are dealt to that many tasks by one shuffle,
+so the work before it keeps its own number of tasks.  ``order`` sorts them: by
+range over the files and within each, so the files in the order of their names
+hold the rows in order.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def _out(df: DataFrame, files: int | None) -> DataFrame:
-    return df.coalesce(files) if files else df
+def arranged(df: DataFrame, files: int | None = None, order: list[str] | None = None) -> DataFrame:
+    """``df`` in ``files`` partitions, in global order if ``order`` is given.
 
+    A value that many rows share may span files: its rows are told apart by a
+    hash of the row, and only the columns of ``order`` have to be in order."""
+    if order and files:
+        last = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        return df.repartitionByRange(files, *[F.col(c) for c in order], last).sortWithinPartitions(*order)
+    if order:
+        return df.orderBy(*order)
+    return df.repartition(files) if files else df
 
-def write_text(df: DataFrame, path: str, files: int | None = None) -> None:
+
+def write_text(df: DataFrame, path: str, files: int | None = None, order: list[str] | None = None) -> None:
     """One STRING column, one value per line."""
-    _out(df, files).write.mode("overwrite").text(path)
+    arranged(df, files, order).write.mode("overwrite").text(path)
 
 
-def write_json(df: DataFrame, path: str, files: int | None = None) -> None:
-    _out(df, files).write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, files: int | None = None, order: list[str] | None = None) -> None:
+    arranged(df, files, order).write.mode("overwrite").json(path)
 
 
-def write_delimited(df: DataFrame, path: str, sep: str, files: int | None = None) -> None:
+def write_delimited(df: DataFrame, path: str, sep: str, files: int | None = None, order: list[str] | None = None) -> None:
     """Header-less CSV with the given separator (``~`` label counts, ``,`` languages)."""
-    _out(df, files).write.mode("overwrite").option("sep", sep).option("header", "false").csv(path)
+    arranged(df, files, order).write.mode("overwrite").option("sep", sep).option("header", "false").csv(path)
+
+
+def write_named_texts(df: DataFrame, path: str, name: str, value: str) -> None:
+    """One text file per ``name``: ``path/file=<name>/part-*``, one line a row.
+    The rows of a name meet in one task, as they are one file."""
+    (df.select(F.col(name).alias("file"), F.col(value).alias("value")).repartition("file")
+     .sortWithinPartitions("file").write.mode("overwrite").partitionBy("file").text(path))

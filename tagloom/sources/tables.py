@@ -35,21 +35,51 @@ STATS_SCHEMA = T.StructType([
     T.StructField("num_predicciones", T.LongType()),
     T.StructField("aciertos", T.LongType()),
 ])
-CLASSIFICATION_LINE_SCHEMA = T.StructType([
-    T.StructField("url", T.StringType()),
-    T.StructField("label", T.StringType()),
-    T.StructField("pct", T.DoubleType()),
-])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# The part of a path that names the file: the last one, or the folder
+# ``file=<name>`` of a file that Spark wrote.
+_NAMED = "(?:^|/)(?:file=)?([^/=]*)(?:/part-[^/]*)?$"
+
+
+def file_name(path) -> F.Column:
+    return F.regexp_extract(path, _NAMED, 1)
+
+
+def _named_files(spark: SparkSession, kind: str, path: str, glob: str | None):
+    reader = spark.read.format(kind).option("recursiveFileLookup", "true")
+    return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+
+
 def read_tag_files(spark: SparkSession, path: str) -> DataFrame:
-    """Directory of ``tags<N>.txt`` files, one tag per line -> (image, label)."""
-    return (spark.read.text(path)
-            .select(X.tag_file_key(F.col("_metadata.file_path")).alias("image"), F.col("value").alias("label")))
+    """Folder of ``tags<N>.txt`` files, one tag per line -> (image, label).
+
+    Spark packs many small files into a task (``spark.sql.files.openCostInBytes``)."""
+    return (_named_files(spark, "text", path, None)
+            .select(X.tag_file_key(file_name(F.col("_metadata.file_path"))).alias("image"), F.col("value").alias("label")))
+
+
+def read_stored_vectors(spark: SparkSession, path: str, dim: int | None = None) -> DataFrame:
+    """Folder of ``im<N>.*`` files as binaries -> (id, embedding); a file whose
+    bytes are no vector (of ``dim`` numbers, if given) has a null one, an empty
+    file has no row.
+
+    The stored form is the numbers as text, separated by commas: the stand-in
+    for image bytes.  A binary is read whole, as an image is."""
+    files = _named_files(spark, "binaryFile", path, None).select("path", "content")
+    numbers = F.transform(F.split(F.btrim(F.col("content").cast("string"), F.lit(" \n")), ","), lambda n: n.try_cast("float"))
+    whole = F.forall("v", lambda n: n.isNotNull()) & (F.lit(True) if dim is None else F.size("v") == dim)
+    return (files.select(X.image_number(X.url_base_name(file_name(F.col("path")))).alias("id"), numbers.alias("v"))
+            .select("id", F.when(whole, F.col("v")).alias("embedding")))
+
+
+def read_language_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``language,count`` lines of the language histogram."""
+    return read_delimited(spark, path, LANG_COUNT_SCHEMA, ",")
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:

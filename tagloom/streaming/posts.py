@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from ..functions import constants as C
 from ..functions import text as X
 from ..operators import scoring as SC
+from . import versions as V
 
 MEDIA = T.ArrayType(T.StructType([
     T.StructField("type", T.StringType()),
@@ -158,27 +159,21 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 
 def run_ranking_stream(spark: SparkSession, lines_dir: str, table_dir: str, checkpoint: str,
-                       trigger: dict | None = None):
+                       trigger: dict | None = None, keep: int = V.KEEP):
     """Live label counts over the appended lines (complete mode); each trigger
     writes the current counts as a new version in ``table_dir``, which
-    ``read_ranking`` sees once it is whole.  ``trigger`` as above."""
+    ``read_ranking`` sees once it is whole, and all but the last ``keep`` go.
+    ``trigger`` as above."""
     lines = spark.readStream.schema("value string").text(lines_dir)
     counts = parse_lines(lines).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
-
-    query = (counts.writeStream.outputMode("complete").foreachBatch(publish)
+    query = (counts.writeStream.outputMode("complete").foreachBatch(lambda batch, n: V.publish(batch, table_dir, n, keep))
              .option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start())
     return _awaited(query, trigger)
 
 
 def read_ranking(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The latest published counts (label, n).  A version is one file, which
-    appears when it is committed, so readers never see part of one."""
-    versions = spark.read.parquet(table_dir)
-    latest = versions.agg(F.max("batch_id").alias("latest"))
-    return versions.join(F.broadcast(latest), F.col("batch_id") == F.col("latest")).drop("batch_id", "latest")
+    """The latest published counts (label, n)."""
+    return V.read_version(spark, table_dir, "label string, n bigint")
 
 
 def top_ranking(counts: DataFrame, n: int = C.RANKING_SIZE) -> DataFrame:

@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tagloom.functions import constants as C
+from tagloom.operators import features as FE
 from tagloom.operators import trees as TR
 from tagloom.streaming import posts as P
 
@@ -29,22 +30,21 @@ def test_forest_matches_mllib_on_binary_features(spark):
     from pyspark.ml.linalg import Vectors
 
     n, d = 240, 6
-    rows, feats, targets = [], [], []
+    rows, feats, truth = [], [], []
     for i in range(n):
         bits = [(i * (k + 3) + k * k) % (k + 2) == 0 for k in range(d)]
         y = int((bits[0] and not bits[2]) or (bits[1] and bits[3]))
-        train = i % 5 != 0
-        rows.append((i, float(y), train, Vectors.dense([1.0 if b else 0.0 for b in bits])))
+        rows.append((i, float(y), Vectors.dense([1.0 if b else 0.0 for b in bits])))
         feats += [(i, k, 1.0) for k in range(d) if bits[k]]
-        targets.append(("t", i, y, train))
-    data = spark.createDataFrame(rows, ["id", "y", "train", "features"])
+        truth += [(i, "t")] * y
+    data = spark.createDataFrame(rows, ["id", "y", "features"]).withColumn("train", FE.is_train(F.col("id")))
     model = DecisionTreeClassifier(labelCol="y", maxDepth=3, impurity="gini").fit(data.where("train"))
-    mllib = {r.id: int(r.prediction) for r in model.transform(data.where("not train")).collect()}
+    mllib = {r.id for r in model.transform(data.where("not train")).where("prediction = 1").collect()}
     f_df = spark.createDataFrame(feats, "id long, f long, v double")
-    t_df = spark.createDataFrame(targets, "target string, id long, y int, train boolean")
-    _, assign = TR.train_and_assign(t_df, f_df, TR.BINARY_THRESHOLDS, 3)
-    ours = {r.id: r.prediction for r in TR.leaf_predictions(assign).collect()}
-    assert ours == mllib
+    images = TR.image_rows(data.select("id"), TR.fixed_bins(f_df, TR.BINARY_THRESHOLDS),
+                           spark.createDataFrame(truth, "id long, label string"), ["t"])
+    ours = {r.id for r in TR.predicted_pairs(TR.train(images, ["t"], 3), images, 3).collect()}
+    assert ours == mllib and ours
 
 
 def test_listing_parses_link_text(spark):

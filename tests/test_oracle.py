@@ -17,6 +17,9 @@ FAST = ["raw_tag_lines", "accent_fold", "singularize_words", "metadata_tag_rewri
         "hit_rate", "delimited_roundtrip", "pair_json_roundtrip", "label_list_roundtrip", "original_tags_json",
         "label_dictionary", "file_key_parse", "stream_photo_urls", "stream_classification", "stream_top25",
         "label_recent40", "label_drilldown", "score_batch_udf", "metadata_tag_tokens", "listed_image_scores",
+        "label_recent40_stream", "label_latest_images", "distinct_photo_urls", "infer_tags_quantile_bins",
+        "infer_tags_quantile_bins_depth8", "tag_file_scan", "stored_image_scores", "unscored_stored_images",
+        "stream_stored_images", "unnamed_classes", "language_file_roundtrip", "distinct_lines_sketch",
         "infer_labels_from_tags_depth8", "infer_tags_from_labels_depth8", "prediction_stats_depth8"]
 
 

@@ -74,3 +74,24 @@ print(s.conf.get("spark.sql.session.timeZone"), s.conf.get("spark.sql.adaptive.e
     env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--conf spark.sql.session.timeZone=Asia/Tokyo pyspark-shell"}
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, env=env)
     assert out.stdout.split() == ["Asia/Tokyo", "true"], out.stderr[-500:]
+
+
+def test_local_session_without_the_setting(tmp_path):
+    """Without spark.checkpoint.dir a private folder serves, and goes at the end."""
+    code = f"""
+import sys
+sys.path.insert(0, {REPO!r})
+import __spark_entry__ as e
+from tagloom.session import checkpoint_dir, get_session
+s = get_session("local[2]", 4)
+assert s.sparkContext.getConf().get("spark.checkpoint.dir") is None
+first = checkpoint_dir(s)
+assert first == checkpoint_dir(s) == s.sparkContext.getCheckpointDir()
+assert e.entry(s).count() > 0
+print(first)
+"""
+    (tmp_path / "conf").mkdir()
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf"), "TAGLOOM_DRIVER_MEMORY": "2g"}
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, env=env)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert not os.path.exists(out.stdout.strip().removeprefix("file:"))
