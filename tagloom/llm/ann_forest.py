@@ -31,9 +31,10 @@ clustered vectors it can be lowered.
 
 Defined results: rows whose id or vector is null, whose vector is zero, empty
 or has a null or non-finite component, or is not of the most frequent length
-(ties: the longer) take no part; repeated ids are rows of their own as
-candidates, but never of the query's id; an empty table gives an empty result;
-further columns are not read.
+(ties: the longer) take no part; rows of the same id and vector are one; rows
+that share an id but not the vector are candidates of their own, but never of
+the query's id, and as queries share one list, the best of both; an empty table
+gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
@@ -165,17 +166,24 @@ _PROBE = pa.struct([("tree", pa.int32()), ("chunk", pa.int32()), ("leaves", pa.l
 _NONE = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
 
-def _rerank(queries, rows):
-    if not len(queries) or not len(rows):
-        return _NONE
-    q, r = _matrix(queries.column("v")), _matrix(rows.column("v"))
-    leaf, visited = rows.column("leaf").to_numpy(), np.zeros((len(q), CHUNK_LEAVES), bool)
-    for i, leaves in enumerate(queries.column("leaves").to_pylist()):
-        visited[i, np.array(leaves) % CHUNK_LEAVES] = True
-    qid, rid, bound = (t.column(c).to_numpy() for t, c in ((queries, "query_id"), (rows, "vec_id"), (queries, "bound")))
-    good = (q @ r.T >= bound[:, None] - 1e-9 * (1 + np.abs(bound[:, None]))) & visited[:, leaf % CHUNK_LEAVES]
-    i, j = np.nonzero(good & (qid[:, None] != rid[None, :]))
-    return pa.table({"query_id": qid[i], "vec_id": rid[j], "score": inner(q[i], r[j])})
+def _rerank(k: int):
+    def rerank(queries, rows):
+        if not len(queries) or not len(rows):
+            return _NONE
+        q, r = _matrix(queries.column("v")), _matrix(rows.column("v"))
+        leaf, visited = rows.column("leaf").to_numpy(), np.zeros((len(q), CHUNK_LEAVES), bool)
+        for i, leaves in enumerate(queries.column("leaves").to_pylist()):
+            visited[i, np.array(leaves) % CHUNK_LEAVES] = True
+        qid, rid, bound = (t.column(c).to_numpy() for t, c in ((queries, "query_id"), (rows, "vec_id"), (queries, "bound")))
+        good = (q @ r.T >= bound[:, None] - 1e-9 * (1 + np.abs(bound[:, None]))) & visited[:, leaf % CHUNK_LEAVES]
+        i, j = np.nonzero(good & (qid[:, None] != rid[None, :]))
+        score = inner(q[i], r[j])
+        # The k best of each query: no other row of this group can be among its k best of all.
+        order = np.lexsort((rid[j], -score, i))
+        place = np.arange(len(i)) - np.searchsorted(i[order], i[order], "left")
+        best = order[place < k]
+        return pa.table({"query_id": qid[i[best]], "vec_id": rid[j[best]], "score": score[best]})
+    return rerank
 
 
 def usable(table: DataFrame, id: str, vector: str) -> DataFrame:
@@ -197,13 +205,12 @@ def nearest(table: DataFrame, queries, id: str = "vec_id", vector: str = "embedd
     ``queries``: a condition on the column ``vec_id``."""
     spark = table.sparkSession
     ship_package(spark)
-    rows = materialize(usable(table, id, vector), "vectors")
+    rows = materialize(usable(table, id, vector).distinct(), "vectors")
     first = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     filed = materialize(rows.withColumn("copy", first).where(F.col("copy") <= k + 1).select("vec_id", "v", "copy"), "distinct-vectors")
     n, n_queries = filed.count(), rows.where(queries).count()
     key = F.pmod(F.xxhash64(F.lit(5), "vec_id"), F.lit(1 << 30))
-    picked = filed.where(key < int(min(1.0, sample / max(n, 1)) * (1 << 30))).limit(2 * sample).collect()
-    picked.sort(key=lambda r: (r["vec_id"], r["v"]))
+    picked = filed.where(key < int(min(1.0, sample / max(n, 1)) * (1 << 30))).orderBy("vec_id", "v").limit(2 * sample).collect()
     longest = rows.agg(F.max("norm")).first()[0] or 0.0
     ids, points = np.array([r["vec_id"] for r in picked], np.int64), np.array([r["v"] for r in picked], float)
     points = points.reshape(len(ids), len(picked[0]["v"]) if picked else 1)
@@ -225,7 +232,7 @@ def nearest(table: DataFrame, queries, id: str = "vec_id", vector: str = "embedd
              .withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)))
              .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)).cast("array<bigint>"))))
     group = ["tree", "chunk", "rb", "qb"]
-    found = asked.groupBy(*group).cogroup(index.groupBy(*group)).applyInArrow(_rerank, "query_id long, vec_id long, score double")
+    found = asked.groupBy(*group).cogroup(index.groupBy(*group)).applyInArrow(_rerank(k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (found.distinct().withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

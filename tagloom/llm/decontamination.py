@@ -29,12 +29,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import materialize, ship_package
+from .batches import pieces_of
 from .shingles import mix, word_hashes
 
 SIZE = 10
@@ -155,17 +155,6 @@ class Index:
                     yield first, n, found
 
 
-def _small(batch: pa.RecordBatch):
-    """The batch in pieces of about ``BLOCK`` bytes of text."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
-    first = 0
-    while first < len(batch):
-        done = ends[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, done + BLOCK, "right")))
-        yield batch.slice(first, last - first)
-        first = last
-
-
 def _runs(marked: np.ndarray) -> list[tuple[int, int]]:
     """First and last position of every run of true values."""
     step = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
@@ -177,7 +166,7 @@ def _scan(part, passed: list[str], types: pa.Schema, with_text: bool):
     and ``items``)."""
     def scan(batches):
         index = part.value
-        for batch in (small for whole in batches for small in _small(whole)):
+        for batch in (small for whole in batches for small in pieces_of(whole, "text", BLOCK)):
             texts = batch.column("text")
             words = Words(*lowered(texts))
             starts = words.bounds[:-1]

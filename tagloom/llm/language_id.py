@@ -39,7 +39,7 @@ BUCKETS = 1 << 16
 DIMENSION = 16
 PER_LANGUAGE = 400
 SEGMENT = 300
-MAX_SEGMENTS = 2000
+SEGMENTS = 8
 EPOCHS = 4
 RATE = 2.0
 PRECISION = 0.99
@@ -113,19 +113,28 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
-    """``rows``: (text, lang) in a fixed order."""
+def segments(text: Column) -> Column:
+    """Up to ``SEGMENTS`` parts of ``SEGMENT`` characters, spread over the whole
+    text, so a long text teaches no more than another."""
+    n = F.ceil(F.length(text) / SEGMENT)
+    taken = F.least(n, F.lit(SEGMENTS))
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), taken - 1), lambda i: F.substring(
+        text, (F.floor(i * (n - 1) / F.greatest(taken - 1, F.lit(1))) * SEGMENT + 1).cast("int"), F.lit(SEGMENT)))
+
+
+def fit(rows: list[tuple[list[str], str]], seed: int = 0) -> Model:
+    """``rows``: (segments of a text, lang) in a fixed order.  Every fifth row is
+    kept for calibration."""
     languages = sorted({lang for _, lang in rows})
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), 1.0, 1.0)
-    rng, taken = np.random.default_rng(seed), dict.fromkeys(languages, 0)
+    rng, seen = np.random.default_rng(seed), dict.fromkeys(languages, 0)
     train, held = [], []
-    for i, (text, lang) in enumerate(rows):
-        for s in range(0, len(text), SEGMENT):
-            g = grams(text[s:s + SEGMENT])
-            if len(g) and taken[lang] < MAX_SEGMENTS:
-                taken[lang] += 1
-                (held if i % 5 == 4 else train).append((*np.unique(g, return_counts=True), languages.index(lang)))
+    for parts, lang in rows:
+        seen[lang] += 1
+        for g in map(grams, parts):
+            if len(g):
+                (held if seen[lang] % 5 == 0 else train).append((*np.unique(g, return_counts=True), languages.index(lang)))
     emb = rng.uniform(-1 / DIMENSION, 1 / DIMENSION, (BUCKETS, DIMENSION)).astype(np.float32)
     out = np.zeros((DIMENSION, len(languages)), np.float32)
     for epoch in range(EPOCHS):
@@ -154,16 +163,18 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model:
     return Model(languages, table, temperature, threshold)
 
 
-def training_rows(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
-    """About ``per_language`` rows of each language, chosen by a hash of the
-    id, in hash order.  At most that many rows a language reach the driver."""
+def training_rows(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[list[str], str]]:
+    """Segments of about ``per_language`` rows of each language, chosen by a hash
+    of the id, in hash order.  At most ``SEGMENTS`` times ``SEGMENT`` characters
+    of a row reach the driver."""
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     key = F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(1 << 30))
     chosen = F.lit(False)
     for lang, n in sorted(counts.items()):
         chosen = chosen | ((F.col("lang") == lang) & (key < int(min(1.0, per_language / n) * (1 << 30))))
-    picked = labelled.where(chosen).select("text", "lang", key.alias("key")).limit(2 * per_language * max(1, len(counts)))
-    return [(r["text"], r["lang"]) for r in sorted(picked.collect(), key=lambda r: (r["key"], r["text"]))]
+    picked = (labelled.where(chosen & (F.length("text") > 0)).select(key.alias("key"), "lang", segments(F.col("text")).alias("parts"))
+              .orderBy("key", "lang", "parts").limit(2 * per_language * max(1, len(counts))))
+    return [(r["parts"], r["lang"]) for r in picked.collect()]
 
 
 def held_out(doc_id: Column) -> Column:

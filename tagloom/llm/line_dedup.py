@@ -28,7 +28,7 @@ from .quality_rules import with_text
 from .words import WHITE_SPACE, is_blank, lines
 
 RATIO = 0.02
-MIN_PAGES = 10
+MIN_PAGES = 3
 MAX_BROADCAST_LINES = 200_000
 SALTS = 64
 

@@ -10,7 +10,8 @@ a shrinking bracket so that it cannot diverge.  The terms are summed as
 decimals, so that the order of addition never changes a result.
 
 Rates become copies by a threshold: a document gets floor(r) copies and one
-more if u - (r - floor(r)) < c, with u drawn from a hash of its id.  For each
+more if u - (r - floor(r)) < c, with u drawn from a hash of the row and, among
+equal rows, of its turn.  For each
 source, c is fitted so that the words taken come nearest to the target: a
 histogram of ``BINS`` bins of words, then one of the bin that the target falls
 into, and so on, ``ROUNDS`` times.  So a source misses its target by about one
@@ -21,7 +22,8 @@ share ``BUDGET`` times all words; a target stops at ``MAX_COPIES`` times the
 words of its source, and what is above is shared anew.
 
 Defined results: a null or blank text has size 0 and takes 0 words (its rate
-is 1: one copy); rows that repeat get the same copies; a source without words
+is 1: one copy); of rows that repeat as many get one more copy as the target
+asks for, so no source is missed by a group of copies; a source without words
 has target 0; an empty table gives an empty result; further columns pass
 through.  Reruns agree.
 """
@@ -42,6 +44,7 @@ MAX_STEPS = 60
 BINS = 1024
 ROUNDS = 3
 BOUND = 1e9
+SALTS = 64
 MAX_BROADCAST_SOURCES = 100_000
 
 
@@ -110,9 +113,35 @@ def multipliers(histogram: DataFrame, goals: DataFrame, tolerance: float = TOLER
     return state.select("source", "source_size", "longest", "target", "m")
 
 
-def draw(key: Column) -> Column:
-    """Uniform in [0, 1) from a hash of the document id."""
-    return F.pmod(F.xxhash64(F.lit(20), key), F.lit(1 << 40)) / float(1 << 40)
+def draw(key: Column, turn: Column) -> Column:
+    """Uniform in [0, 1) from a hash of the row and its turn among equal rows."""
+    return F.pmod(F.xxhash64(F.lit(20), key, turn), F.lit(1 << 40)) / float(1 << 40)
+
+
+def _key(doc_id: Column, source: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id, source, text)
+
+
+def with_turn(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``turn``: 0, 1, 2 ... among the rows of one ``key``, which are
+    equal, so it does not matter which gets which.
+
+    Keys that stand once, mostly all, are only counted.  The rows of the others
+    are numbered in ``SALTS`` parts each, which are then put one behind another."""
+    often = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("k")),
+                        "repeated-rows")
+    zero = F.lit(0).cast("bigint")
+    if often.isEmpty():
+        return rows.withColumn("turn", zero)
+    same = F.col("key") == F.col("k")
+    again = rows.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).join(often, same, "left_semi")
+    before = Window.partitionBy("k").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (again.groupBy(F.col("key").alias("k"), F.col("part").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+             .select("k", "p", F.coalesce(F.sum("n").over(before), zero).alias("first")))
+    own = F.row_number().over(Window.partitionBy("key", "part").orderBy("part")) - 1
+    turned = (again.withColumn("own", own).join(parts, same & (F.col("part") == F.col("p")))
+              .withColumn("turn", (F.col("first") + F.col("own")).cast("bigint")))
+    return rows.join(often, same, "left_anti").withColumn("turn", zero).unionByName(turned.select(*rows.columns, "turn"))
 
 
 def thresholds(cells: DataFrame, solved: DataFrame) -> DataFrame:
@@ -152,32 +181,34 @@ def _by_source(table: DataFrame, max_broadcast: int = MAX_BROADCAST_SOURCES) ->
 
 def solved(docs: DataFrame) -> DataFrame:
     """source, source_size, longest, target, m, c of every source of ``docs``."""
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    sized = materialize(sized, "document-sizes")
+    sized = docs.select(_key(F.col("doc_id"), F.col("source"), F.col("text")).alias("key"), "source", n_words(F.col("text")).alias("size"))
+    sized = with_turn(materialize(sized, "document-sizes"))
     histogram = materialize(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "size-histogram")
     sources = histogram.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"),
                                               F.max("size").alias("longest"))
     rates = materialize(multipliers(histogram.where("size > 0"), targets(sources)), "rates")
     cells = (sized.where("size > 0").withColumnRenamed("source", "s")
              .join(_by_source(rates), F.col("s").eqNullSafe(F.col("source")))
-             .select("source", "size", "doc_id", rate(F.col("m"), F.col("size"), F.col("longest")).alias("r"))
-             .select("source", "size", *_split(F.col("r"), F.col("doc_id"))))
+             .select("source", "size", "key", "turn", rate(F.col("m"), F.col("size"), F.col("longest")).alias("r"))
+             .select("source", "size", *_split(F.col("r"))))
     return thresholds(cells, rates)
 
 
-def _split(r: Column, key: Column) -> list[Column]:
+def _split(r: Column) -> list[Column]:
     """Copies for sure, and v where one more is possible."""
     whole = F.floor(r)
-    return [whole.alias("whole"), F.when(whole < MAX_COPIES, draw(key) - (r - whole)).alias("v")]
+    return [whole.alias("whole"), F.when(whole < MAX_COPIES, draw(F.col("key"), F.col("turn")) - (r - whole)).alias("v")]
 
 
 def _decided(docs: DataFrame) -> DataFrame:
     """``doc`` (the row as it came), size, the columns of ``solved``, copies."""
     table = materialize(solved(docs), "mixing-rates")
-    rows = docs.select(F.struct("*").alias("doc")).select("doc", n_words(F.col("doc.text")).alias("size"))
+    rows = docs.select(F.struct("*").alias("doc")).select(
+        "doc", _key(F.col("doc.doc_id"), F.col("doc.source"), F.col("doc.text")).alias("key"), n_words(F.col("doc.text")).alias("size"))
+    rows = with_turn(rows)
     joined = rows.join(_by_source(table), F.col("doc.source").eqNullSafe(F.col("source")), "left")
     r = rate(F.col("m"), F.col("size"), F.col("longest"))
-    return (joined.select("doc", "size", "source_size", "target", "c", *_split(r, F.col("doc.doc_id")))
+    return (joined.select("doc", "size", "source_size", "target", "c", *_split(r))
             .withColumn("copies", F.col("whole") + F.coalesce((F.col("v") < F.col("c")) & (F.col("size") > 0),
                                                               F.lit(False)).cast("int")))
 

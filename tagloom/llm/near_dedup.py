@@ -10,8 +10,8 @@ or more, and a class is a connected component of links.
    registers, which keeps its earliest.  A shingle ends when its next arrival
    is later than every register.  Two documents agree on a register with the
    probability of their similarity.
-2. Copies.  Documents with the same words are one node, named by the smallest
-   id, from here on.
+2. Copies.  Documents with the same words are one node from here on, known by a
+   digest of the words; its text is that of its row of the smallest id.
 3. Banding.  Nodes that agree on all ``ROWS`` registers of one of ``BANDS``
    bands share a bucket (a similar pair misses all with a chance of 5e-5 at
    0.8, less above).
@@ -27,9 +27,11 @@ Buckets are aggregated before they are shuffled and joined back, or cut into
 blocks, so a bucket or a class of any size never meets in one task.
 
 Defined results: a text without a word (null, empty, blank) is in a class of
-its own; rows without an id have no class; rows that share an id are one
-document; an empty table gives an empty result; further columns pass through
-``deduplicated`` and are not read else.
+its own; rows without an id have no class; rows that share an id but not the
+text are documents of their own, so they may be in different classes; rows that
+share both are one document; an empty table gives an empty result; further
+columns pass through ``deduplicated`` (of equal rows those of any one) and are
+not read else.
 """
 
 from __future__ import annotations
@@ -49,6 +51,7 @@ LEVEL = 0.8
 BLOCK = 256
 COLUMNS = 4096
 _POINTS = 1024
+SALTS = 16
 
 
 def _arrivals(shingle: np.ndarray, first: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,14 +111,17 @@ def _sign(batches):
             else:
                 out.append((None, None, None))
         a, b, keys = zip(*out) if out else ((), (), ())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                                          pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "a", "b", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                                          pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "content", "a", "b", "bands"])
 
 
 def _vectors(batches):
+    """Shingles of the rows whose words are the node's (another row may have its id)."""
     for batch in batches:
-        out = [np.sort(s).tobytes() for _, s in shingled(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], names=["node", "vector"])
+        named = zip(batch.column("node").to_pylist(), batch.column("a").to_pylist(), batch.column("b").to_pylist())
+        out = [(node, np.sort(s).tobytes()) for (node, a, b), (words, s) in zip(named, shingled(batch.column("text"))) if digest(words) == (a, b)]
+        nodes, vectors = zip(*out) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(vectors, pa.binary())], names=["node", "vector"])
 
 
 def _compare(batches):
@@ -216,28 +222,36 @@ def _rest(active: DataFrame, roots: DataFrame, vectors: DataFrame, level: float)
 
 
 def _fetch(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(node, vector) of the nodes found; their side of the join is hashed."""
-    texts = rows.join(found.hint("shuffle_hash"), F.col("doc_id") == F.col("node")).select("node", "text")
+    """(node, vector) of the nodes found (node, first_id, a, b); their side of
+    the join is hashed."""
+    texts = rows.join(found.hint("shuffle_hash"), F.col("doc_id") == F.col("first_id")).select("node", "a", "b", "text")
     return texts.mapInArrow(_vectors, "node long, vector binary").groupBy("node").agg(F.first("vector").alias("vector"))
 
 
-def classes(docs: DataFrame, level: float = LEVEL) -> DataFrame:
-    """doc_id, class_id (smallest id of the class), class_size (its rows) and
-    copy_of (smallest id with the same words)."""
+def _content(text) -> F.Column:
+    """Tells the rows of one id apart."""
+    return F.xxhash64(F.lit(3), text)
+
+
+def _classified(docs: DataFrame, level: float) -> DataFrame:
+    """doc_id, content, copy_of and class (first_id of its smallest node, and a
+    number that tells classes with the same first id apart) of every row."""
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = materialize(rows.mapInArrow(_sign, "doc_id long, a long, b long, bands array<long>"), "signatures")
+    signed = materialize(rows.withColumn("content", _content(F.col("text"))).select("doc_id", "content", "text")
+                         .mapInArrow(_sign, "doc_id long, content long, a long, b long, bands array<long>"), "signatures")
     nodes = (signed.where("doc_id is not null and a is not null").groupBy("a", "b")
-             .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")))
-    nodes = materialize(nodes, "nodes")
+             .agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands")))
+    # The number is the place in the stored table.
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     pairs, active = _with_leader(buckets)
     pairs, roots = materialize(pairs, "pairs"), None
     if not pairs.isEmpty():
         # Every bucket with two members or more is in the pairs.
         met = pairs.select(F.explode(F.array("p", "q")).alias("node")).distinct()
-        vectors = materialize(_fetch(rows, nodes.join(met, "node").select("node")), "vectors")
+        vectors = materialize(_fetch(rows, nodes.join(met, "node").select("node", "first_id", "a", "b")), "vectors")
         both = (pairs.join(vectors.select(F.col("node").alias("p"), F.col("vector").alias("x")), "p")
                 .join(vectors.select(F.col("node").alias("q"), F.col("vector").alias("y")), "q"))
         compared = both.mapInArrow(_compare, "p long, q long, similarity double")
@@ -245,21 +259,46 @@ def classes(docs: DataFrame, level: float = LEVEL) -> DataFrame:
                             .select(F.col("p").alias("a"), F.col("q").alias("b")), "links")
         rest = materialize(_rest(active, components(links), vectors, level), "links")
         roots = components(links.unionByName(rest))
-    copies = signed.join(nodes.select("a", "b", "node"), ["a", "b"], "left").select("doc_id", F.coalesce("node", "doc_id").alias("copy_of"))
+    named = nodes.select("a", "b", "node", "first_id")
     if roots is not None:
-        copies = copies.join(roots.select(F.col("node").alias("copy_of"), "root"), "copy_of", "left")
+        rooted = materialize(named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-nodes")
+        # Classes of several nodes only, mostly few.
+        firsts = (rooted.groupBy("root").agg(F.min("first_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
+                  .where("n > 1").select("root", "class_id"))
+        named = rooted.join(firsts, "root", "left").withColumn("class_id", F.coalesce("class_id", "first_id"))
     else:
-        copies = copies.withColumn("root", F.lit(None).cast("bigint"))
-    named = copies.select("doc_id", "copy_of", F.coalesce("root", "copy_of").alias("class_id"))
-    sizes = named.groupBy(F.col("class_id").alias("c")).agg(F.count(F.lit(1)).alias("class_size"))
-    return named.join(sizes, F.col("class_id") == F.col("c"), "left").select("doc_id", "class_id", "class_size", "copy_of")
+        named = named.withColumn("root", F.col("node")).withColumn("class_id", F.col("first_id"))
+    named = named.select("a", "b", F.col("first_id").alias("copy_of"), "class_id", "root")
+    return signed.select("doc_id", "content", "a", "b").join(named, ["a", "b"], "left").select(
+        "doc_id", "content", F.when(F.col("doc_id").isNotNull(), F.coalesce("copy_of", "doc_id")).alias("copy_of"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
+        F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("root"))
+
+
+def classes(docs: DataFrame, level: float = LEVEL) -> DataFrame:
+    """doc_id, class_id (smallest id of the class), class_size (its rows) and
+    copy_of (smallest id with the same words)."""
+    named = materialize(_classified(docs, level), "document-classes")
+    # Classes of one row, mostly all, need no join; the others' rows are dealt by a salt.
+    sizes = (named.where("root is not null").groupBy("root").agg(F.count(F.lit(1)).alias("class_size")).where("class_size > 1")
+             .select(F.col("root").alias("r"), "class_size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    salted = named.withColumn("s", F.pmod(F.xxhash64("doc_id", "content"), F.lit(SALTS)).cast("int"))
+    return (salted.join(sizes, (F.col("root") == F.col("r")) & (F.col("s") == F.col("salt")), "left")
+            .select("doc_id", "class_id", F.coalesce("class_size", F.when(F.col("doc_id").isNotNull(), 1)).alias("class_size"), "copy_of"))
 
 
 def deduplicated(docs: DataFrame, level: float = LEVEL) -> DataFrame:
-    """One document of each class, the one with the smallest id; rows without
-    an id all stay."""
-    kept = classes(docs, level).where("doc_id = class_id").select(F.col("class_id").alias("kept_id")).distinct()
-    key = F.col("doc.doc_id").cast("bigint")
-    named = docs.select(F.struct("*").alias("doc"))
-    first = named.where(key.isNotNull()).join(kept.hint("shuffle_hash"), key == F.col("kept_id"), "left_semi")
-    return first.unionByName(named.where(key.isNull())).select("doc.*")
+    """One document of each class, the one with the smallest id (of several, by
+    a hash of the text); rows without an id all stay."""
+    named = materialize(_classified(docs, level).where("doc_id is not null").select("doc_id", "content", "root"), "document-classes")
+    chosen = F.struct("doc_id", "content")
+    first = (named.where("root is not null").groupBy("root").agg(F.min(chosen).alias("kept"))
+             .unionByName(named.where("root is null").select("root", chosen.alias("kept")))
+             .select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.content").alias("kept_content")).distinct())
+    rows = docs.select(F.struct("*").alias("doc")).select("doc", F.col("doc.doc_id").cast("bigint").alias("id"), _content(F.col("doc.text")).alias("content"))
+    kept = (rows.where("id is not null").join(first.hint("shuffle_hash"), (F.col("id") == F.col("kept_id"))
+                                              & F.col("content").eqNullSafe(F.col("kept_content")), "left_semi"))
+    # Rows that repeat as they are: one of them, where there are any.
+    if not named.groupBy("doc_id", "content").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        kept = kept.groupBy("id", "content").agg(F.first("doc").alias("doc"))
+    return kept.select("doc").unionByName(rows.where("id is null").select("doc")).select("doc.*")

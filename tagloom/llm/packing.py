@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
+from .batches import pieces_of
 from .tokenizing import read_definition, token_ids
 
 WINDOW = 4096
@@ -50,6 +51,7 @@ PER_SHARD = 32
 MAX_SAMPLE = 1 << 17
 CELL = 8
 ROWS = 256
+BYTES = 1 << 22
 SALTS = 1 << 30
 
 
@@ -191,10 +193,13 @@ def _ids(column, type: str) -> list[np.ndarray]:
 
 def _encode(definition, type: str):
     def encode(batches):
-        ids = token_ids(definition.value).ids
-        for batch in _parts(batches):
-            docs = [np.append(ids(t), np.uint32(END)).astype(type).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(docs, pa.binary())], names=["doc_id", "ids"])
+        library = token_ids(definition.value)
+        for whole in batches:
+            for batch in pieces_of(whole, "text", BYTES):
+                ids, starts = library.of_batch(batch.column("text"), END)
+                raw = ids.astype(type)
+                column = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(starts * raw.itemsize), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column.cast(pa.binary())], names=["doc_id", "ids"])
     return encode
 
 
@@ -273,15 +278,16 @@ def routed(encoded: DataFrame, shard: int, type: str, n_terms: int) -> tuple[Dat
     shared = spark.sparkContext.broadcast(corpus)
     size = min(MAX_SAMPLE, PER_SHARD * shards)
     key = F.pmod(F.xxhash64(F.lit(4), "doc_id", "ids"), F.lit(SALTS))
-    rows = (encoded.where(key < int(min(1.0, size / n) * SALTS)).limit(2 * size).select("ids")
-            .mapInArrow(_project(shared, type), "row binary").collect())
+    rows = (encoded.where(key < int(min(1.0, size / n) * SALTS)).select("ids")
+            .mapInArrow(_project(shared, type), "row binary").orderBy("row").limit(2 * size).collect())
     sample = np.frombuffer(b"".join(sorted(bytes(r["row"]) for r in rows)), np.float32).reshape(-1, DIM)
     router = Router(sample)
     tree = spark.sparkContext.broadcast(router)
     sizes = np.zeros(1 << router.depth, np.int64)
     for r in encoded.select("ids").mapInArrow(_cells(shared, tree, type), "cell long").groupBy("cell").count().collect():
         sizes[r["cell"]] = r["count"]
-    salt = F.pmod(F.xxhash64("doc_id", "ids"), F.lit(SALTS)).alias("salt")
+    # With the row's place in the stored table, so that rows that repeat are dealt apart too.
+    salt = F.pmod(F.xxhash64("doc_id", "ids", F.monotonically_increasing_id()), F.lit(SALTS)).alias("salt")
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return (encoded.select("doc_id", "ids", salt)
             .mapInArrow(_route(shared, tree, sizes, shards, type), f"doc_id {kind}, ids binary, shard long"), corpus)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import checkpoint_dir
 from ..sources.tables import table
 from . import (ann_forest, conversation_repair, decontamination, language_id, line_dedup, mixing, near_dedup, packing,
                quality_rules, secret_crf, spelling, token_count, url_filter)
@@ -39,8 +39,9 @@ def secrets(spark, sf_dir):
 
 
 def token_counts(spark, sf_dir):
+    # The cache stays: a later run finds the counts of the texts it has met.
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
-                                    scratch_path(spark, "token-counts"))
+                                    checkpoint_dir(spark).rstrip("/") + "/tagloom-token-counts")
 
 
 def quality(spark, sf_dir):

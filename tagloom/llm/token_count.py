@@ -8,7 +8,10 @@ or later runs have it.
 
 Only digests are grouped (combined before the shuffle), so a text that a third
 of all rows share is no hot group; the texts that miss cross one shuffle, by
-document id, compressed more tightly than Spark compresses its shuffles.  The last join is by digest; Spark splits a skewed digest.
+document id, compressed more tightly than Spark compresses its shuffles.  Where
+they are few (``MAX_BROADCAST``, counted) their digests are broadcast instead, and
+no text that the cache knows leaves its scan.  The last join is by digest; Spark
+splits a skewed digest.
 
 Normalised content is the text with null as the empty text: any other change
 (case, white space, Unicode form) would change counts.
@@ -32,6 +35,7 @@ from ..session import materialize, ship_package
 from .tokenizing import read_definition, token_counter
 
 LIMIT = 512
+MAX_BROADCAST = 100_000
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
 
 
@@ -66,7 +70,7 @@ def _encode(definition: str):
     return encode
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = LIMIT) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = LIMIT, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every document; appends the
     counts that the cache at ``cache`` lacks.  ``tokenizer``: path of the file."""
     spark = docs.sparkSession
@@ -77,16 +81,23 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = LIMIT
     full = docs.select("doc_id", content.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
     keyed = materialize(full.select("doc_id", "digest", F.octet_length("text").cast("bigint").alias("n_bytes")), "digests")
     known = stored(spark, cache).where(F.col("version") == version).select("digest")
-    misses = (keyed.groupBy("digest").agg(F.min("doc_id").alias("one")).join(known, "digest", "left_anti")
-              .withColumnRenamed("digest", "miss"))
-    # The side of the misses has small rows and is the one that is hashed.
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    packed = full.mapInArrow(_compress, f"doc_id {kind}, digest binary, n_bytes long, packed binary")
-    texts = (packed.join(misses.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("digest") == F.col("miss")))
-             .select("digest", "n_bytes", "packed"))
-    shared = spark.sparkContext.broadcast(definition)
-    new = texts.mapInArrow(_encode(shared), "digest binary, n_tokens long")
-    (new.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache))
+    misses = materialize(keyed.groupBy("digest").agg(F.min("doc_id").alias("one")).join(known, "digest", "left_anti")
+                         .withColumnRenamed("digest", "miss"), "missed-digests")
+    n_misses = misses.count()
+    if n_misses:
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        wanted = F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("digest") == F.col("miss"))
+        rows = "doc_id {}, digest binary, n_bytes long, packed binary".format(kind)
+        if n_misses <= max_broadcast:
+            # Few texts are new: only they leave the scan.
+            texts = full.join(F.broadcast(misses), wanted, "left_semi").mapInArrow(_compress, rows)
+            texts = texts.repartition("digest")
+        else:
+            # The side of the misses has small rows and is the one that is hashed.
+            texts = full.mapInArrow(_compress, rows).join(misses.hint("shuffle_hash"), wanted)
+        shared = spark.sparkContext.broadcast(definition)
+        new = texts.select("digest", "n_bytes", "packed").mapInArrow(_encode(shared), "digest binary, n_tokens long")
+        (new.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache))
     counts = (stored(spark, cache).where(F.col("version") == version)
               .groupBy("digest").agg(F.first("n_tokens").alias("n_tokens")))
     return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

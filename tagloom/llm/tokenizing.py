@@ -12,17 +12,22 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-MAX_PIECES = 400_000
+MAX_PIECES = 150_000
 _CONTROLS = "\\x1c-\\x1f\\u180e\\u200b-\\u200d\\u2060\\ufeff"
 # White space other than one space or one newline between words, controls that
 # libraries class differently; special strings start with ``_SPECIAL``.
 _ODD_SPACE = re.compile("[ \\n][ \\n]|<\\||[\\t\\r\\x0b\\x0c\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000" + _CONTROLS + "]")
 _CONTROL = re.compile("[" + _CONTROLS + "]")
 _SPECIAL = "<|"
+# Texts with any of these are not cut at ASCII white space by Arrow.
+_NOT_PLAIN = "<\\||[\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200d}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{2060}\\x{3000}\\x{feff}]"
 
 
 _LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -34,6 +39,32 @@ _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
+# Words of these code points alone are cut into their parts by Arrow: letters,
+# runs of marks, single digits.
+_CUT = f"^[!-&(-~{_LETTERS}]+$"
+_MARKS = f"([^a-z0-9{_LETTERS} ]+)"
+_DIGIT = "([0-9])"
+
+
+def _joined(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.array([len(p) // 4 for p in pieces], np.int64)
+    return np.frombuffer(b"".join(pieces), "<u4"), np.cumsum(size) - size
+
+
+def _appended(ids, first, size, pieces: list[bytes]):
+    more, starts = _joined(pieces)
+    return (np.concatenate([ids, more]), np.concatenate([first, starts + len(ids)]),
+            np.concatenate([size, np.array([len(p) // 4 for p in pieces], np.int64)]))
+
+
+def _gathered(ids, first, size, order) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the pieces in ``order``, and where each one ends."""
+    lengths = size[order]
+    total = np.cumsum(lengths)
+    where = np.repeat(first[order] - (total - lengths), lengths) + np.arange(total[-1] if len(total) else 0)
+    return ids[where], total
+
+
 class _Table(dict):
     """Piece -> value, computed where it is missing.  Beyond ``MAX_PIECES`` the
     entries become the old generation, from which those met again come back."""
@@ -51,6 +82,10 @@ class _Table(dict):
         return value
 
 
+def _packed(*ids: int) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class TokenCounter:
     """Token counts of a byte-level tokenizer, which splits words before the
     one space in front of them and takes a newline before a word alone."""
@@ -87,13 +122,60 @@ class TokenIds:
 
     def part(self, part: str) -> bytes:
         """One part: its bytes, written as the model's vocabulary writes them."""
-        return np.array([t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_BYTE_NAMES))], "<u4").tobytes()
+        name = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_NAMES)
+        return _packed(*[t.id for t in self.model.tokenize(name)])
 
     def piece(self, piece: str) -> bytes:
         if not _PLAIN.fullmatch(piece):
             return self.whole(piece)
         return b"".join(map(self.parts.__getitem__, _PARTS.findall(piece.lower())))
 
+    def of_batch(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by ``end``, one behind the other, and
+        where each text begins.  Words that are met again in the batch, and parts
+        that are met again in its words, are looked up once and gathered."""
+        texts = texts.cast(pa.large_string())
+        odd = pc.match_substring_regex(texts, _NOT_PLAIN).to_numpy(zero_copy_only=False)
+        words = pc.ascii_split_whitespace(pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts))
+        flat = words.flatten().dictionary_encode()
+        ids, first, size = self._of_words(flat.dictionary)
+        more = [*(self.whole_ids(t) for t in texts.filter(pa.array(odd)).to_pylist()), np.array([end], "<u4").tobytes()]
+        ids, first, size = _appended(ids, first, size, more)
+        # The words of each text, or the one entry of an odd one, then the end.
+        ends = np.cumsum(np.diff(words.offsets.to_numpy()) + 1) - 1
+        order = np.full(len(flat) + len(texts), len(size) - 1, np.int64)
+        inner = np.ones(len(order), bool)
+        inner[ends] = False
+        order[inner] = flat.indices.to_numpy()
+        order[ends[odd] - 1] = len(flat.dictionary) + np.arange(len(more) - 1)
+        out, total = _gathered(ids, first, size, order)
+        return out, np.concatenate([[0], total[ends]])
+
+    def _of_words(self, words: pa.Array):
+        """Distinct words -> all their ids, and where each word's begin and how many they are."""
+        plain = pc.match_substring_regex(words, _CUT)
+        cut = pc.utf8_lower(words.filter(plain))
+        for pattern in (_MARKS, _DIGIT):
+            cut = pc.replace_substring_regex(cut, pattern, " \\1 ")
+        parts = pc.ascii_split_whitespace(pc.ascii_trim(cut, " "))
+        flat = parts.flatten().dictionary_encode()
+        known = [self.parts[p] if p else b"" for p in flat.dictionary.to_pylist()]
+        ids, starts = _joined(known)
+        ids, total = _gathered(ids, starts, np.array([len(p) // 4 for p in known], np.int64), flat.indices.to_numpy())
+        bounds = np.concatenate([[0], total])[parts.offsets.to_numpy()]
+        plain = plain.to_numpy(zero_copy_only=False)
+        first, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        first[plain], size[plain] = bounds[:-1], np.diff(bounds)
+        # An empty string stands before, between and behind white space.
+        others = [self.table[w] if w else b"" for w in words.filter(pa.array(~plain)).to_pylist()]
+        at = len(ids)
+        ids, all_first, all_size = _appended(ids, first[:0], size[:0], others)
+        first[~plain], size[~plain] = all_first, all_size
+        return ids, first, size
+
+    def whole_ids(self, text: str) -> bytes:
+        return self.ids(text).tobytes()
+
     def ids(self, text: str) -> np.ndarray:
         raw = self.whole(text) if _SPECIAL in text or _CONTROL.search(text) else b"".join(map(self.table.__getitem__, text.split()))
         return np.frombuffer(raw, dtype="<u4")
