@@ -135,6 +135,7 @@ def with_turn(rows: DataFrame) -> DataFrame:
         return rows.withColumn("turn", zero)
     same = F.col("key") == F.col("k")
     again = rows.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).join(often, same, "left_semi")
+    again = materialize(again, "repeated-rows")  # the parts are to be the same in both uses
     before = Window.partitionBy("k").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     parts = (again.groupBy(F.col("key").alias("k"), F.col("part").alias("p")).agg(F.count(F.lit(1)).alias("n"))
              .select("k", "p", F.coalesce(F.sum("n").over(before), zero).alias("first")))
