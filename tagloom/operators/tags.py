@@ -2,10 +2,11 @@
 
 Plan shape (one Catalyst plan per output):
 
-    lines -> dealt out evenly                  [shuffle 1]
-          -> tokens of each line, in place; words that no rewrite can touch take
-             a short exact way
-          -> stop words -> distinct (image, token)   [shuffle 2, map-side partial]
+    short lines -> distinct -> tokens -> joined back by line
+    long lines  -> dealt out evenly -> tokens of each line, in place
+    both        -> stop words -> distinct (image, token)   [map-side partial]
+
+Words that no rewrite can touch take a short exact way.
 """
 
 from __future__ import annotations
@@ -25,14 +26,28 @@ def lines_from_text(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("image"), F.explode(F.split(F.col(text), LINE_BREAK)).alias("label"))
 
 
+# Lines of this many characters or fewer repeat a lot ("2006", "canon eos").
+SHORT_LINE = 64
+
+
 def tokenize_lines(lines: DataFrame) -> DataFrame:
     """(image, label) tag lines -> (image, token), each once per line, before
     stop words.
 
-    Every line is tokenised where it is: no vocabulary, no join on words.  The
-    regex work costs many times what moving a line does, so the lines are dealt
-    out evenly first, whatever the layout of the input files."""
-    return spread(lines, "image", "label").select("image", F.explode(X.line_tokens(F.col("label"))).alias("token"))
+    A short line is tokenised once, however often it stands: the distinct short
+    lines (combined before their shuffle) are dealt out evenly and joined back;
+    the join is on the line itself, so Spark may split a frequent one.  Long lines
+    are nearly unique; each is tokenised where it is, after the lines are dealt
+    out evenly, as the regex work costs many times what moving a line does.
+
+    ``explode_outer``: a plain ``explode`` would make Spark test the size of the
+    tokens before, and so compute them twice."""
+    short = lines.where(F.length("label") <= SHORT_LINE)
+    known = spread(short.select("label").distinct(), "label").select(F.col("label").alias("_line"), X.line_tokens(F.col("label")).alias("_tokens"))
+    long = spread(lines.where(F.length("label") > SHORT_LINE), "image", "label")
+    return (short.join(known, F.col("label") == F.col("_line")).select("image", F.explode_outer("_tokens").alias("token"))
+            .unionByName(long.select("image", F.explode_outer(X.line_tokens(F.col("label"))).alias("token")))
+            .where("token is not null"))
 
 
 def normalized_tags(lines: DataFrame) -> DataFrame:
