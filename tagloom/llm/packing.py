@@ -51,7 +51,7 @@ PER_SHARD = 32
 MAX_SAMPLE = 1 << 17
 CELL = 8
 ROWS = 256
-BYTES = 1 << 22
+BYTES = 1 << 21
 SALTS = 1 << 30
 
 
