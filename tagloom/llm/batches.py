@@ -1,7 +1,10 @@
-"""Arrow batches in pieces of bounded size."""
+"""Arrow batches in pieces of bounded size, and memory given back after a task."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,3 +20,23 @@ def pieces_of(batch: pa.RecordBatch, column: str, n_bytes: int):
         last = max(first + 1, int(np.searchsorted(ends, done + n_bytes, "right")))
         yield batch.slice(first, last - first)
         first = last
+
+
+def give_back() -> None:
+    """Return what is free in this process to the system.  An executor's Python
+    workers live on after their task, beside stages that need the memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def then_give_back(function):
+    """A ``mapInArrow`` function that gives memory back at the end of its task."""
+    @functools.wraps(function)
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+    return run

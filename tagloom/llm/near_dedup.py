@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
+from .batches import give_back, then_give_back
 from .components import components
 from .shingles import digest, mix, shingled
 
@@ -102,6 +103,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float((1 / ((only_x + x_above[last]) / x + (only_y + y.sum() - y_above[last]) / y)).sum())
 
 
+@then_give_back
 def _sign(batches):
     for batch in batches:
         out = []
@@ -115,6 +117,7 @@ def _sign(batches):
                                           pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "content", "a", "b", "bands"])
 
 
+@then_give_back
 def _vectors(batches):
     """Shingles of the rows whose words are the node's (another row may have its id)."""
     for batch in batches:
@@ -124,6 +127,7 @@ def _vectors(batches):
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(vectors, pa.binary())], names=["node", "vector"])
 
 
+@then_give_back
 def _compare(batches):
     def counted(raw):
         return np.unique(np.frombuffer(raw, np.uint64), return_counts=True)
@@ -156,6 +160,8 @@ def _links_within(level: float):
         side = group.column("side").to_numpy()
         vectors = [np.unique(np.frombuffer(v, np.uint64), return_counts=True) for v in group.column("vector").to_pylist()]
         out = linked_pairs(vectors, root, side, level)
+        if len(vectors) > BLOCK:
+            give_back()
         return pa.table({"a": node[[i for i, _ in out]], "b": node[[j for _, j in out]]},
                         schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
     return links

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
-from .batches import pieces_of
+from .batches import give_back, pieces_of, then_give_back
 from .tokenizing import read_definition, token_ids
 
 WINDOW = 4096
@@ -200,7 +200,7 @@ def _encode(definition, type: str):
                 raw = ids.astype(type)
                 column = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(starts * raw.itemsize), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column.cast(pa.binary())], names=["doc_id", "ids"])
-    return encode
+    return then_give_back(encode)
 
 
 def _frequencies(type: str, n_terms: int):
@@ -212,7 +212,7 @@ def _frequencies(type: str, n_terms: int):
                 docs, tokens = docs + 1, tokens + len(d)
         term = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(term, [-1, -2])), pa.array(np.append(df[term], [docs, tokens]))], names=["term", "n"])
-    return count
+    return then_give_back(count)
 
 
 def _project(corpus, type: str):
@@ -220,7 +220,7 @@ def _project(corpus, type: str):
         for batch in _parts(batches):
             rows = projected(_ids(batch.column("ids"), type), corpus.value)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], names=["row"])
-    return project
+    return then_give_back(project)
 
 
 def _cells(corpus, router, type: str):
@@ -228,7 +228,7 @@ def _cells(corpus, router, type: str):
         for batch in _parts(batches):
             cell = router.value.cells(projected(_ids(batch.column("ids"), type), corpus.value))
             yield pa.RecordBatch.from_arrays([pa.array(cell)], names=["cell"])
-    return cells
+    return then_give_back(cells)
 
 
 def _route(corpus, router, sizes: np.ndarray, shards: int, type: str):
@@ -242,7 +242,7 @@ def _route(corpus, router, sizes: np.ndarray, shards: int, type: str):
             at = ends[cell] - sizes[cell] + sizes[cell] * (batch.column("salt").to_numpy() / SALTS)
             shard = np.minimum((at * shards / ends[-1]).astype(np.int64), shards - 1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(shard)], names=["doc_id", "ids", "shard"])
-    return route
+    return then_give_back(route)
 
 
 def _pack_shard(corpus, with_ids: bool, window: int, type: str):
@@ -259,7 +259,9 @@ def _pack_shard(corpus, with_ids: bool, window: int, type: str):
         if with_ids:
             out["input_ids"] = pa.ListArray.from_arrays(np.concatenate([[0], length.cumsum()]).astype(np.int32),
                                                         np.concatenate(cut).astype(np.int32))
-        return pa.table(out)
+        out = pa.table(out)
+        give_back()
+        return out
     return pack
 
 

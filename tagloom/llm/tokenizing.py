@@ -19,7 +19,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from .shingles import word_hashes
+
 MAX_PIECES = 150_000
+MAX_PARTS = 1_000_000
 _CONTROLS = "\\x1c-\\x1f\\u180e\\u200b-\\u200d\\u2060\\ufeff"
 # White space other than one space or one newline between words, controls that
 # libraries class differently; special strings start with ``_SPECIAL``.
@@ -46,6 +49,9 @@ _MARKS = f"([^a-z0-9{_LETTERS} ]+)"
 _DIGIT = "([0-9])"
 
 
+_MIXED = np.random.default_rng(9).permutation(256).astype(np.uint8)
+
+
 def _joined(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([len(p) // 4 for p in pieces], np.int64)
     return np.frombuffer(b"".join(pieces), "<u4"), np.cumsum(size) - size
@@ -65,6 +71,57 @@ def _gathered(ids, first, size, order) -> tuple[np.ndarray, np.ndarray]:
     return ids[where], total
 
 
+class _PartTable:
+    """Ids of the parts met before, by a 128-bit hash of their bytes: three sorted
+    columns and one run of ids, some 40 bytes a part.  Beyond ``MAX_PARTS`` it
+    starts anew."""
+
+    def __init__(self, compute):
+        self.compute = compute
+        self._clear()
+
+    def _clear(self):
+        self.a, self.b = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.first, self.size, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4")
+
+    def _find(self, a, b):
+        if not len(self.a):
+            return np.zeros(len(a), np.int64), np.zeros(len(a), bool)
+        order, at = np.argsort(a), np.empty(len(a), np.int64)  # sorted questions are answered faster
+        at[order] = np.minimum(np.searchsorted(self.a, a[order]), len(self.a) - 1)
+        return at, (self.a[at] == a) & (self.b[at] == b)
+
+    def get(self, parts: pa.Array):
+        """Distinct parts -> where the ids of each begin in ``ids``, and how many they are."""
+        parts = parts.cast(pa.large_string())
+        offsets = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset:parts.offset + len(parts) + 1]
+        data = np.frombuffer(parts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        start, end = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+        a, b = (word_hashes(x, start, end) if len(data) else np.zeros(len(parts), np.uint64) for x in (data, _MIXED[data]))
+        at, known = self._find(a, b)
+        if not known.all():
+            if len(self.a) + len(a) > MAX_PARTS:
+                self._clear()
+                known[:] = False
+            new = np.flatnonzero(~known)
+            more, starts = _joined([self.compute(p) if p else b"" for p in parts.take(pa.array(new)).to_pylist()])
+            sizes = np.diff(np.append(starts, len(more)))
+            order = np.argsort(a[new], kind="stable")
+            place = np.searchsorted(self.a, a[new][order])
+            self.first = np.insert(self.first, place, (starts + len(self.ids))[order])
+            self.size = np.insert(self.size, place, sizes[order])
+            self.b = np.insert(self.b, place, b[new][order])
+            self.a = np.insert(self.a, place, a[new][order])
+            self.ids = np.concatenate([self.ids, more])
+            at, known = self._find(a, b)
+        first, size = self.first[at], self.size[at]
+        for i in np.flatnonzero(~known).tolist():  # another part has the first hash
+            own = np.frombuffer(self.compute(parts[i].as_py()), "<u4")
+            first[i], size[i] = len(self.ids), len(own)
+            self.ids = np.concatenate([self.ids, own])
+        return first, size
+
+
 class _Table(dict):
     """Piece -> value, computed where it is missing.  Beyond ``MAX_PIECES`` the
     entries become the old generation, from which those met again come back."""
@@ -115,6 +172,7 @@ class TokenIds:
         self.library = Tokenizer.from_str(definition)
         self.model = self.library.model
         self.parts = _Table(self.part)
+        self.known_parts = _PartTable(self.part)
         self.table = _Table(self.piece)
 
     def whole(self, text: str) -> bytes:
@@ -159,9 +217,8 @@ class TokenIds:
             cut = pc.replace_substring_regex(cut, pattern, " \\1 ")
         parts = pc.ascii_split_whitespace(pc.ascii_trim(cut, " "))
         flat = parts.flatten().dictionary_encode()
-        known = [self.parts[p] if p else b"" for p in flat.dictionary.to_pylist()]
-        ids, starts = _joined(known)
-        ids, total = _gathered(ids, starts, np.array([len(p) // 4 for p in known], np.int64), flat.indices.to_numpy())
+        starts, sizes = self.known_parts.get(flat.dictionary)
+        ids, total = _gathered(self.known_parts.ids, starts, sizes, flat.indices.to_numpy())
         bounds = np.concatenate([[0], total])[parts.offsets.to_numpy()]
         plain = plain.to_numpy(zero_copy_only=False)
         first, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
