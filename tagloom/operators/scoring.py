@@ -115,20 +115,26 @@ def name_nodes(scored: DataFrame, dictionary: DataFrame) -> DataFrame:
     return scored.join(d, "node", "left").withColumn("label", F.coalesce("name", F.lit(""))).drop("name")
 
 
-def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
-    """``df`` with each row's position, from 0, in the order of ``order``.
+def running_total(df: DataFrame, order: list[str], amount: str, out: str) -> DataFrame:
+    """``df`` with the sum of ``amount`` over the rows before each, in the order of
+    ``order``.
 
-    The rows are sorted by range and stored; each task's rows are numbered on
-    their own and moved up by the rows of the tasks before it, of which there
-    is one number each."""
+    The rows are sorted by range and stored; each task's rows are summed up on
+    their own and moved up by the sums of the tasks before it, of which there is
+    one number each."""
     parted = materialize(df.orderBy(*order).withColumn("_part", F.spark_partition_id()), "sorted")
-    sizes = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    first = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return (parted.withColumn("_own", own).join(sizes.select("_part", first.alias("_first")), "_part")
+    sums = parted.groupBy("_part").agg(F.sum(amount).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.coalesce(F.sum(amount).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (parted.withColumn("_own", own).join(sums.select("_part", before.alias("_first")), "_part")
             .withColumn(out, (F.col("_own") + F.col("_first")).cast("bigint")).drop("_part", "_own", "_first"))
 
 
+def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """``df`` with each row's position, from 0, in the order of ``order``."""
+    return running_total(df.withColumn("_one", F.lit(1)), order, "_one", out).drop("_one")
+
+
 def nation_dictionary(nation: DataFrame) -> DataFrame:
     """Stand-in node dictionary: nation key -> nation name."""
     return nation.select(F.col("n_nationkey").alias("node_id"), F.col("n_name").alias("name"))

@@ -86,13 +86,17 @@ def tag_analysis_job(spark: SparkSession, raw_lines: DataFrame, scores: DataFram
     return paths
 
 
-def scoring_job(index: DataFrame, contents: DataFrame, labelled: DataFrame, dictionary: DataFrame,
-                out_dir: str, key: str = "id") -> str:
-    """Scores every listed image (top-5 labels, sentinel when it cannot be
-    scored) and writes ``{image, label, score}`` JSON lines."""
+def scoring_job(index: DataFrame, contents: DataFrame, model: DataFrame, dictionary: DataFrame, out_dir: str, key: str = "id",
+                n_images: int | None = None, lot_size: int = C.LOT_SIZE, max_labels: int = C.MAX_SCORE_LABELS) -> str:
+    """Scores the listed images (the first ``n_images`` in the order of ``key``)
+    with their ``max_labels`` best labels, the sentinel if one cannot be scored,
+    and writes ``{image, label, score}`` JSON lines.  Lots of ``lot_size`` images
+    are dealt to tasks whole, as many lots to a task as there are per task."""
     _stamp("start")
-    model = SC.centroid_model(labelled)
-    scored = SC.classify_images(index, contents, model, dictionary, key)
+    numbered = SC.numbered(index.select(key), [key], "_number")
+    taken = numbered if n_images is None else numbered.where(F.col("_number") < n_images)
+    dealt = taken.withColumn("_lot", F.floor(F.col("_number") / lot_size)).repartition("_lot").drop("_number", "_lot")
+    scored = SC.classify_images(dealt, contents, model, dictionary, key, max_labels)
     out = scored.select(F.concat(F.lit("im"), F.col(key).cast("string")).alias("image"), "label", "score")
     _stamp("processing")
     sinks.write_json(out, out_dir)

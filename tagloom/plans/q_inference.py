@@ -305,37 +305,60 @@ def infer_tags_quantile_depth8_df(spark, sf_dir):
 
 # ---- MLlib path (M5): one DecisionTreeClassifier per target, as the reference ----
 
-def mllib_predictions(spark, sf_dir, max_depth: int = C.TREE_DEPTH):
-    """CountVectorizer features over each image's tags, one Gini tree per
-    modelled label (labels read as a DataFrame, at most TOP_TAGS of them),
-    positive test predictions as (id, label).  Train/test are persisted once
-    for all fits instead of being recomputed per label."""
+def sparse_vectors(features, size: int):
+    """(id, f, v) -> (id, features): one sparse vector per image, from a grouped
+    aggregate of its indices and values in order."""
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
+    cells = features.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "v"))).alias("x"))
+    to_vector = F.udf(lambda x: Vectors.sparse(size, [c["f"] for c in x], [c["v"] for c in x]), VectorUDT())
+    return cells.select("id", to_vector("x").alias("features"))
+
+
+def mllib_fits(vectors, ids, truth, targets: list[str], max_depth: int = C.TREE_DEPTH):
+    """Positive test predictions (id, label) of one Gini tree per target (at most
+    TOP_TAGS, fitted one after another as in MLlib's own API).  The images are
+    persisted for the fits; the predictions are stored before they are released."""
     from pyspark import StorageLevel
     from pyspark.ml.classification import DecisionTreeClassifier
-    from pyspark.ml.feature import CountVectorizer
 
-    tags, labels = tag_pairs(spark, sf_dir), model_pairs(spark, sf_dir)
-    per_image_tags = tags.groupBy("id").agg(F.array_sort(F.collect_set("label")).alias("labels"))
-    per_image_cls = labels.groupBy("id").agg(F.array_sort(F.collect_set("label")).alias("classification"))
-    joined = per_image_cls.join(per_image_tags, "id")
-    cv = CountVectorizer(inputCol="labels", outputCol="features", vocabSize=C.VOCAB_SIZE).fit(joined)
-    data = cv.transform(joined).select("id", "classification", "features", FE.is_train(F.col("id")).alias("train"))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    labels = truth.groupBy("id").agg(F.collect_set("label").alias("classification"))
+    data = (ids.select("id").distinct().join(labels, "id").join(vectors, "id")
+            .withColumn("train", FE.is_train(F.col("id"))).persist(StorageLevel.MEMORY_AND_DISK))
     train, test = data.where("train"), data.where(~F.col("train"))
-    targets = [r["label"] for r in QS.label_top50_df(spark, sf_dir).select("label").limit(C.TOP_TAGS).collect()]
-    out = None
-    for target in targets:
+    out = data.sparkSession.createDataFrame([], data.select("id", F.lit("").alias("label")).schema)
+    for target in targets[:C.TOP_TAGS]:
         y = F.array_contains("classification", target).cast("double")
-        dtc = DecisionTreeClassifier(labelCol="y", featuresCol="features", impurity="gini", maxDepth=max_depth, seed=7)
-        model = dtc.fit(train.withColumn("y", y))
-        pred = (model.transform(test).where(F.col("prediction") == 1.0)
-                .select("id", F.lit(target).alias("label")))
-        out = pred if out is None else out.unionByName(pred)
-    if out is None:
-        out = spark.createDataFrame([], "id bigint, label string")
+        model = DecisionTreeClassifier(labelCol="y", featuresCol="features", impurity="gini", maxDepth=max_depth, seed=7).fit(train.withColumn("y", y))
+        out = out.unionByName(model.transform(test).where(F.col("prediction") == 1.0).select("id", F.lit(target).alias("label")))
+    out = materialize(out, "mllib-predictions")
+    data.unpersist()
     return out
 
 
+def mllib_predictions(spark, sf_dir, max_depth: int = C.TREE_DEPTH):
+    """Tags to labels, over CountVectorizer features of each image's tags."""
+    from pyspark.ml.feature import CountVectorizer
+
+    tags, labels = tag_pairs(spark, sf_dir), model_pairs(spark, sf_dir)
+    per_image = tags.groupBy("id").agg(F.array_sort(F.collect_set("label")).alias("labels")).join(labels.select("id").distinct(), "id")
+    cv = CountVectorizer(inputCol="labels", outputCol="features", vocabSize=C.VOCAB_SIZE).fit(per_image)
+    targets = [r["label"] for r in QS.label_top50_df(spark, sf_dir).select("label").limit(C.TOP_TAGS).collect()]
+    return mllib_fits(cv.transform(per_image).select("id", "features"), per_image, labels, targets, max_depth)
+
+
+def mllib_tag_predictions(spark, sf_dir, max_depth: int = C.TREE_DEPTH, n_targets: int = C.TOP_TAGS):
+    """The mirrored direction: labels to tags, over sparse vectors of the scores.
+    Also gives the own forest's predictions of the same targets."""
+    feats, truth, top, _, ids = direction_labels_to_tags(spark, sf_dir)
+    feats = materialize(feats, "score-features")
+    targets = TR.target_list(top)[:n_targets]
+    size = 1 + (feats.agg(F.max("f")).first()[0] or 0)
+    theirs = mllib_fits(sparse_vectors(feats, size), ids, truth, targets, max_depth)
+    images = TR.image_rows(ids, TR.quantile_bins(feats, ids.where(FE.is_train(F.col("id")))), truth, targets)
+    return theirs, TR.predicted_pairs(TR.train(images, targets, max_depth), images, max_depth)
+
+
 @register("mllib_tree_predictions", None, "M5,M7,F6,U1,K9 (MLlib, rows only)")
 def mllib_tree_predictions_df(spark, sf_dir):
     return mllib_predictions(spark, sf_dir)

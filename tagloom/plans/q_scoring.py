@@ -122,24 +122,41 @@ SELECT page_id, pos, name, url || '/' || name AS image_url,
 WHERE pos >= 2 AND name IS NOT NULL"""
 
 
+def page_items(pages):
+    """(page_id, url, items): the items of each page's ``<li>`` list after the
+    first one, as (pos, name); link text = text between the first '>' and the next
+    '<' of the item."""
+    def item(piece, i):
+        return F.struct(i.cast("bigint").alias("pos"), F.get(F.split(F.get(F.split(piece, "<"), 1), ">"), 1).alias("name"))
+    items = F.filter(F.transform(F.split("html", "<li>"), item), lambda x: (x["pos"] >= 2) & x["name"].isNotNull())
+    return pages.select("page_id", "url", items.alias("items"))
+
+
+def listing_of(pages):
+    """(page_id, pos, name, image_url) of every item."""
+    items = page_items(pages).select("page_id", "url", F.explode_outer("items").alias("item")).where("item is not null")
+    return items.select("page_id", "item.pos", "item.name", F.concat("url", F.lit("/"), "item.name").alias("image_url"))
+
+
+def _pages(spark, sf_dir):
+    return tables.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+
+
 def listing(spark, sf_dir):
-    """Items of each page's ``<li>`` list after the first one: link text = text
-    between the first '>' and the next '<' of the item."""
-    pages = tables.table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    pieces = pages.select("page_id", "url", F.posexplode(F.split("html", "<li>")).alias("pos", "piece"))
-    name = F.get(F.split(F.get(F.split("piece", "<"), 1), ">"), 1)
-    return (pieces.where(F.col("pos") >= 2)
-            .select("page_id", F.col("pos").cast("bigint").alias("pos"), name.alias("name"), "url")
-            .where(F.col("name").isNotNull())
-            .withColumn("image_url", F.concat("url", F.lit("/"), "name")).drop("url"))
+    return listing_of(_pages(spark, sf_dir))
 
 
-def lots(items, n: int | None = None, lot_size: int = C.LOT_SIZE):
-    """``listing`` with the lot of each item, counted over the whole listing in
-    the order of (page_id, pos); the first ``n`` items if given."""
-    numbered = SC.numbered(items, ["page_id", "pos"], "number")
-    taken = numbered if n is None else numbered.where(F.col("number") < n)
-    return taken.withColumn("lot", F.floor(F.col("number") / lot_size).cast("bigint")).drop("number")
+def lots(pages, n: int | None = None, lot_size: int = C.LOT_SIZE):
+    """(page_id, pos, name, lot): the listing in lots of ``lot_size`` items, counted
+    over the whole listing in the order of (page_id, pos); the first ``n`` items if
+    given.  Only pages are sorted: an item's number is that of the items of the
+    pages before its own and its place in its page."""
+    counted = page_items(pages).select("page_id", "items", F.size("items").alias("_size"))
+    numbered = SC.running_total(counted, ["page_id"], "_size", "_before")
+    items = (numbered.select("page_id", "_before", F.posexplode_outer("items").alias("_place", "item")).where("item is not null")
+             .select("page_id", "item.pos", "item.name", (F.col("_before") + F.col("_place")).alias("_number")))
+    taken = items if n is None else items.where(F.col("_number") < n)
+    return taken.withColumn("lot", F.floor(F.col("_number") / lot_size).cast("bigint")).drop("_number")
 
 
 @register("index_listing", "SELECT page_id, pos, name, image_url FROM (" + LISTING_SQL + ")", "S5,O10,X23,X3")
@@ -151,7 +168,7 @@ def index_listing_df(spark, sf_dir):
           "SELECT page_id, lot, count(*) AS n_images, min(pos) AS first_pos FROM (" + LISTING_SQL + ") GROUP BY page_id, lot",
           "W2")
 def image_lots_df(spark, sf_dir):
-    return (lots(listing(spark, sf_dir)).groupBy("page_id", "lot")
+    return (lots(_pages(spark, sf_dir)).groupBy("page_id", "lot")
             .agg(F.count(F.lit(1)).alias("n_images"), F.min("pos").alias("first_pos")))
 
 
@@ -173,7 +190,7 @@ FROM listed l LEFT JOIN named n ON n.vec_id = l.k AND n.rank <= {C.MAX_SCORE_LAB
 def listed_image_scores_df(spark, sf_dir):
     contents = tables.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("k"), "embedding")
     n = (contents.agg(F.max("k")).first()[0] or 0) + 1
-    items = lots(listing(spark, sf_dir)).withColumn("k", F.pmod(F.col("page_id") * 31 + F.col("pos"), F.lit(n + n // 4 + 1)))
+    items = lots(_pages(spark, sf_dir)).withColumn("k", F.pmod(F.col("page_id") * 31 + F.col("pos"), F.lit(n + n // 4 + 1)))
     keys = items.select("k").distinct()
     scored = SC.classify_images(keys, contents, model(spark, sf_dir), dictionary(spark, sf_dir), "k")
     return (items.join(scored, "k").select("page_id", "pos", "name", "lot", "label", F.round("score", 6).alias("score")))

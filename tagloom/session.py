@@ -25,6 +25,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A checkpoint goes when nothing in the driver refers to it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -78,10 +80,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (for written tables)."""
+    """A fresh sub-folder of the shared checkpoint folder (for written tables).
+    It stays until ``drop_scratch``, as the caller's result may read from it."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tagloom-{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(f"{base}/tagloom-{name}-{uuid.uuid4().hex[:12]}")
+    return _scratch[-1]
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes the scratch folders that this process has made so far; to be called
+    when the results of its queries are written.  Stored models and caches stay."""
+    n = 0
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 _shipped: set[str] = set()
