@@ -3,9 +3,10 @@
 The documents are encoded once and stored.  Document frequencies and the mean
 length are those of all documents.  A document's BM25 weights are projected to
 ``DIM`` numbers, and a tree fitted to a sample (``Router``) files it in a cell
-of similar documents.  The cells in the order of the tree are cut into shards
-of ``SHARD`` documents; a cell that spans several shards is dealt to them by
-a hash, so no shard grows with a group of copies.
+of similar documents.  The cells in the order of the tree, with their sizes as in
+the sample, are cut into shards of about ``SHARD`` documents; a cell that spans
+several shards is dealt to them by a hash, so no shard grows with a group of
+copies.
 
 Each shard is one group of one task: it builds a BM25 inverted index over its
 documents' tokens, and packs.  The document that opens a window is its seed;
@@ -223,17 +224,9 @@ def _project(corpus, type: str):
     return then_give_back(project)
 
 
-def _cells(corpus, router, type: str):
-    def cells(batches):
-        for batch in _parts(batches):
-            cell = router.value.cells(projected(_ids(batch.column("ids"), type), corpus.value))
-            yield pa.RecordBatch.from_arrays([pa.array(cell)], names=["cell"])
-    return then_give_back(cells)
-
-
 def _route(corpus, router, sizes: np.ndarray, shards: int, type: str):
-    """The cells lie one behind the other, the rows of a cell by their salt;
-    every shard gets an equal part of the whole."""
+    """The cells lie one behind the other, each as long as its part of the sample,
+    the rows of a cell by their salt; every shard gets an equal part of the whole."""
     ends = np.cumsum(sizes)
 
     def route(batches):
@@ -279,19 +272,17 @@ def routed(encoded: DataFrame, shard: int, type: str, n_terms: int) -> tuple[Dat
         return encoded.withColumn("shard", F.lit(0).cast("bigint")), corpus
     shared = spark.sparkContext.broadcast(corpus)
     size = min(MAX_SAMPLE, PER_SHARD * shards)
-    key = F.pmod(F.xxhash64(F.lit(4), "doc_id", "ids"), F.lit(SALTS))
-    rows = (encoded.where(key < int(min(1.0, size / n) * SALTS)).select("ids")
+    # With the row's place in the stored table, so that of rows that repeat a fair part is drawn, and they are dealt apart.
+    key, salt = (F.pmod(F.xxhash64(F.lit(k), "doc_id", "ids", F.monotonically_increasing_id()), F.lit(SALTS)) for k in (4, 5))
+    rows = (encoded.withColumn("key", key).where(F.col("key") < int(min(1.0, size / n) * SALTS)).select("ids")
             .mapInArrow(_project(shared, type), "row binary").orderBy("row").limit(2 * size).collect())
     sample = np.frombuffer(b"".join(sorted(bytes(r["row"]) for r in rows)), np.float32).reshape(-1, DIM)
     router = Router(sample)
     tree = spark.sparkContext.broadcast(router)
-    sizes = np.zeros(1 << router.depth, np.int64)
-    for r in encoded.select("ids").mapInArrow(_cells(shared, tree, type), "cell long").groupBy("cell").count().collect():
-        sizes[r["cell"]] = r["count"]
-    # With the row's place in the stored table, so that rows that repeat are dealt apart too.
-    salt = F.pmod(F.xxhash64("doc_id", "ids", F.monotonically_increasing_id()), F.lit(SALTS)).alias("salt")
+    # A cell's part of all documents is that of the sample, in which a shard has PER_SHARD rows.
+    sizes = np.bincount(router.cells(sample), minlength=1 << router.depth) + 1
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return (encoded.select("doc_id", "ids", salt)
+    return (encoded.select("doc_id", "ids", salt.alias("salt"))
             .mapInArrow(_route(shared, tree, sizes, shards, type), f"doc_id {kind}, ids binary, shard long"), corpus)
 
 

@@ -85,7 +85,7 @@ def test_packing_deals_rows_that_repeat(spark):
     ids = encoded.select("doc_id", F.when(F.length("ids") % 2 == 0, F.col("ids")).otherwise(F.concat("ids", F.lit(b"\0"))).alias("ids"))
     dealt, _ = packing.routed(ids, 500, "<u2", 1 << 16)
     sizes = [r["count"] for r in dealt.groupBy("shard").count().collect()]
-    assert sum(sizes) == len(rows) and max(sizes) <= 650
+    assert sum(sizes) == len(rows) and max(sizes) <= 900  # 500, by a sample of 32 rows a shard
 
 
 ODD_TEXTS = [None, "", " ", "\n\n a\tb c  d <|endoftext|> x\x1cy", "漢字 и ещё 🙂 ﷽ á ſecret", "a​b c", "Don't 's1234 it's", "x" * 3000, " a ",
