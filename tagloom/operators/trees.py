@@ -117,8 +117,9 @@ def image_rows(ids: DataFrame, binned: DataFrame, truth: DataFrame, targets: lis
     (id, f, bin); ``truth`` (id, label)."""
     feats = (binned.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("f").cast("int").alias("f"), F.col("bin").cast("int").alias("bin")))).alias("x"))
              .select("id", F.col("x.f").alias("fs"), F.col("x.bin").alias("bins")))
-    place = F.array_position(F.array(*[F.lit(t) for t in targets]).cast("array<string>"), F.col("label")).cast("int") - 1
-    wanted = truth.select("id", place.alias("target")).where("target >= 0")
+    # At most as many rows as ``target_list`` lets through.
+    places = ids.sparkSession.createDataFrame(list(zip(targets, range(len(targets)))), "label string, target int")
+    wanted = truth.select("id", "label").join(F.broadcast(places), "label")
     positives = wanted.groupBy("id").agg(F.array_sort(F.collect_set("target")).alias("positives"))
     none = F.array().cast("array<int>")
     rows = (ids.select("id").distinct().join(feats, "id", "left").join(positives, "id", "left")
