@@ -9,9 +9,16 @@ hold the rows in order.
 
 from __future__ import annotations
 
+import os
+import re
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 
 def arranged(df: DataFrame, files: int | None = None, order: list[str] | None = None) -> DataFrame:
     """``df`` in ``files`` partitions, in global order if ``order`` is given.
@@ -40,8 +47,55 @@ def write_delimited(df: DataFrame, path: str, sep: str, files: int | None = None
     arranged(df, files, order).write.mode("overwrite").option("sep", sep).option("header", "false").csv(path)
 
 
+# The name of the file that holds the rows without a name, as Spark calls their folder.
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+# Characters that Spark writes as %XX in the name of a folder.
+_ESCAPED = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
+
+
 def write_named_texts(df: DataFrame, path: str, name: str, value: str) -> None:
     """One text file per ``name``: ``path/file=<name>/part-*``, one line a row.
-    The rows of a name meet in one task, as they are one file."""
-    (df.select(F.col(name).alias("file"), F.col(value).alias("value")).repartition("file")
-     .sortWithinPartitions("file").write.mode("overwrite").partitionBy("file").text(path))
+    The rows of a name meet in one task, as they are one file.
+
+    On a shared folder of the machines each task creates its files itself: Spark's
+    writer adds a checksum file to each, starts a process for the mode of both if
+    Hadoop's native library is missing, and moves all files in the driver at the
+    end.  Any other store is left to Spark's writer."""
+    rows = df.select(F.col(name).alias("file"), F.col(value).alias("value")).repartition("file").sortWithinPartitions("file")
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.getUri().getScheme() != "file":
+        rows.write.mode("overwrite").partitionBy("file").text(path)
+        return
+    store.delete(target, True)
+    store.mkdirs(target)
+    ship_package(spark)
+    rows.mapInArrow(_files_of_task(target.toUri().getPath()), "n long").agg(F.sum("n")).collect()
+
+
+def _files_of_task(root: str):
+    """Rows sorted by file -> the number of files written.  A file appears under its
+    name when it is whole, so a task that runs again does no harm."""
+    def write(batches):
+        task = TaskContext.get()
+        beside = os.path.join(root, f".attempt-{task.partitionId():05d}-{task.taskAttemptId()}")
+        name, out, n = None, None, 0
+
+        def done():
+            out.close()
+            folder = os.path.join(root, "file=" + _ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", name))
+            os.makedirs(folder, exist_ok=True)
+            os.replace(beside, os.path.join(folder, f"part-{task.partitionId():05d}.txt"))
+        for batch in batches:
+            for file, value in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist()):
+                file = file or NO_NAME
+                if file != name:
+                    if out:
+                        done()
+                    name, out, n = file, open(beside, "wb"), n + 1
+                out.write((value or "").encode() + b"\n")
+        if out:
+            done()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+    return write

@@ -58,6 +58,17 @@ def test_named_files_have_one_file_each(spark):
     assert len(glob.glob(path.replace("file:", "") + "/*/part-*")) == 2
 
 
+def test_named_files_are_all_that_is_written(spark):
+    rows = [("tags1.txt", "a"), (None, "n"), ("", "e"), ("tags2.txt", None), ("a/b:c.txt", "x")] + [(f"tags{i}.txt", "v") for i in range(100, 300)]
+    path = scratch_path(spark, "named")
+    df = spark.createDataFrame(rows, "n string, v string").repartition(3)
+    sinks.write_named_texts(df, path, "n", "v")
+    found = glob.glob(path.replace("file:", "") + "/**/*", recursive=True, include_hidden=True)
+    files = sorted(f.split("/file=")[1].split("/")[0] for f in found if os.path.isfile(f))
+    assert files == sorted([f"tags{i}.txt" for i in [1, 2, *range(100, 300)]] + ["__HIVE_DEFAULT_PARTITION__", "a%2Fb%3Ac.txt"])
+    assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(["a", "n", "e", "", "x"] + ["v"] * 200)
+
+
 def test_stored_vectors_that_cannot_be_read_are_null(spark, tmp_path):
     for name, body in {"im1.jpg": b"1.5,2,-3e-2\n", "im2.jpg": b"1.5,,2", "im3.jpg": b"\xff\xfe\x00", "im4.jpg": b"", "im5.jpg": b"1,2", "x.jpg": b"1,2,3"}.items():
         (tmp_path / name).write_bytes(body)
