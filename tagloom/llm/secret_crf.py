@@ -37,6 +37,7 @@ import random
 import re
 import string
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -68,9 +69,6 @@ RATE = 0.5
 DECAY = 1e-4
 BEGIN, INSIDE, OUTSIDE = range(3)
 NEVER = -1e9
-# What a line with an odd token has, found faster.
-_MAYBE_ODD = re.compile(r"[0-9]|[A-Za-z+/_.-]{%d}" % LONG)
-_ASSIGNS = re.compile("[:=]")
 _CAN_BEGIN = re.compile(r"[A-Za-z0-9+/_.-]{%d,}" % ODD)
 _PART = re.compile("[_.-]+")
 REACH = 6
@@ -78,6 +76,8 @@ REACH = 6
 CUES = ("passphrase", "pwd", "pass", "credential", "credentials", "auth", "authorization", "bearer", "private_key", "access_key",
         "client_secret", "client_id", "api_token", "auth_token", "session_key", "signing_key", "webhook_key", "pin_code", "login_key", "key")
 VARIED = 1600
+# Tokens whose bounds are kept, and tokens bounded at once.
+KNOWN, AT_ONCE = 200_000, 20_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, int]]:
@@ -157,6 +157,10 @@ def file_features(text: str) -> list[int]:
 
 
 PLACES = {"before2": -2, "before": -1, "after": 1, "after2": 2}
+_DIGIT = re.compile(r"\d")
+# Checksums of what the names of features begin with.
+_HEADS = [zlib.crc32(f"{place}=".encode()) for place in PLACES]
+_NAME, _A_PART, _PREFIX = (zlib.crc32(f) for f in (b"name=", b"part=", b"prefix="))
 
 
 def features(tokens: list[str], i: int) -> list[int]:
@@ -176,6 +180,7 @@ class Field:
         self.near: dict[tuple[str, str], list[float]] = {}
         self.names: dict[tuple[str, bool] | None, list[float]] = {}
         self.some = bool(np.abs(weights).sum())
+        self.bounds: Bounds | None = None
 
     def _sum(self, ids) -> list[float]:
         return [sum(self.weights[i][tag] for i in ids) for tag in range(3)]
@@ -220,19 +225,145 @@ class Field:
         if not self.some:
             return []
         extra = self._sum(file_features(text))
-        out, start = [], 0
+        self.bounds = self.bounds or Bounds(self)
+        out = []
+        for start, line in self.bounds.lines(text, extra):
+            found = list(TOKEN.finditer(line))
+            begun = None
+            tags = self.best([m[0] for m in found], extra)
+            for m, tag in zip([*found, None], [*tags, OUTSIDE]):
+                if tag != INSIDE and begun is not None:
+                    out.append((start + begun[0], start + begun[1]))
+                    begun = None
+                if tag != OUTSIDE:
+                    begun = (m.start() if tag == BEGIN else begun[0], m.end())
+        return out
+
+
+class Bounds:
+    """Which lines a field can tag a secret in.
+
+    Against tagging all tokens outside, a run of tagged tokens gains at most, per
+    token, the better of its two tags and the best move into one, and the best move
+    out once.  The greatest sum over a run is that of running sums over the lowest
+    one before; a great loss stands between lines, so that no run spans two."""
+
+    EDGE, BETWEEN, SLACK = 0, 2, 1e-3
+    LOSS = 1e4
+
+    def __init__(self, field: Field):
+        self.field, moves = field, field.moves
+        stay = moves[OUTSIDE][OUTSIDE]
+        self.step = max(moves[s][t] for s in range(3) for t in (BEGIN, INSIDE) if (s, t) != (OUTSIDE, INSIDE)) - stay
+        self.close = max(0.0, moves[BEGIN][OUTSIDE] - stay, moves[INSIDE][OUTSIDE] - stay)
+        self.unnamed = self._gain(name_features(None))
+        self.named = [self._gain([_bucket(f"name:assigned={assigned}")]) for assigned in (False, True)]
+        self.near_odd = [g for place in PLACES for g in self._gain([_bucket(place + "=odd")])]
+        self.plain: dict[tuple, tuple[float, float]] = {}
+        self._forget()
+
+    def _gain(self, ids) -> tuple[float, float]:
+        begin = inside = 0.0
+        for i in ids:
+            b, e, o = self.field.weights[i]
+            begin += b - o
+            inside += e - o
+        return begin, inside
+
+    def _forget(self):
+        self.number: dict[str, int] = {"": self.EDGE}
+        self.word, self.assigns = bytearray(1), bytearray(1)
+        # Per token: own, the four places, the name without and with an assignment.
+        self.table = array("d", [0.0, 0.0])
+        for place in PLACES:
+            self.table.extend(self._gain([_bucket(place + "=edge")]))
+        self.table.extend([*self.unnamed] * 2)
+
+    def _own(self, token: str) -> tuple[float, float]:
+        """Plain words fall into few classes, whose gain is kept."""
+        if len(token) == 1 or len(token) >= LONG or _DIGIT.search(token):
+            return self._gain(own_features(token))
+        key = (len(token) // 3, token.istitle(), token.islower(), token.isupper(), bool(_PART.search(token)))
+        if key not in self.plain:
+            self.plain[key] = self._gain(own_features(token))
+        return self.plain[key]
+
+    def _add(self, token: str) -> int:
+        """Bounds of a new token: the sums of ``own_features``, ``near_features`` and
+        ``name_features``; a bucket's checksum goes on from that of its first part."""
+        own, low = self._own(token), token.lower()
+        self.table.extend(own if _CAN_BEGIN.fullmatch(token) else (NEVER, own[1]))
+        if _ODD_TOKEN.fullmatch(token):
+            self.table.extend(self.near_odd)
+        else:
+            text = low.encode()
+            for head in _HEADS:
+                self.table.extend(self._gain([zlib.crc32(text, head) % WEIGHTS]))
+        parts = [p for p in _PART.split(low) if p]
+        for assigned, head in enumerate(self.named):
+            tail = f"|{bool(assigned)}"
+            whole = [zlib.crc32((low + tail).encode(), _NAME) % WEIGHTS]
+            whole += [zlib.crc32((p + tail).encode(), _A_PART) % WEIGHTS for p in parts]
+            whole += [zlib.crc32((p[:4] + tail).encode(), _PREFIX) % WEIGHTS for p in parts]
+            begin, inside = self._gain(whole)
+            self.table.extend((begin + head[0], inside + head[1]))
+        self.word.append(len(token) > 1 or token.isalnum())
+        self.assigns.append(token in (":", "=", ">"))
+        self.number[token] = len(self.number)
+        return self.number[token]
+
+    def lines(self, text: str, extra: list[float]):
+        """(start, line) of the lines that need decoding."""
+        held, codes, first, start = [], [self.EDGE] * self.BETWEEN, [], 0
         for line in text.split("\n"):
-            if _ASSIGNS.search(line) or (_MAYBE_ODD.search(line) and _ODD_TOKEN.search(line)):
-                found = list(TOKEN.finditer(line))
-                begun = None
-                tags = self.best([m[0] for m in found], extra)
-                for m, tag in zip([*found, None], [*tags, OUTSIDE]):
-                    if tag != INSIDE and begun is not None:
-                        out.append((start + begun[0], start + begun[1]))
-                        begun = None
-                    if tag != OUTSIDE:
-                        begun = (m.start() if tag == BEGIN else begun[0], m.end())
+            if _CAN_BEGIN.search(line):
+                held.append((start, line))
+                first.append(len(codes))
+                number, add = self.number, self._add
+                codes += [number[t] if t in number else add(t) for t in TOKEN.findall(line)]
+                codes += [self.EDGE] * self.BETWEEN
+                if len(codes) > AT_ONCE:
+                    yield from (held[k] for k in self._open(codes, first, extra))
+                    held, codes, first = [], [self.EDGE] * self.BETWEEN, []
+                    if len(self.number) > KNOWN:
+                        self._forget()
             start += len(line) + 1
+        if held:
+            yield from (held[k] for k in self._open(codes, first, extra))
+            if len(self.number) > KNOWN:
+                self._forget()
+
+    def _open(self, codes: list[int], first: list[int], extra: list[float]) -> np.ndarray:
+        """The lines in which a run of tokens may gain."""
+        code = np.array(codes)
+        table = np.frombuffer(self.table).reshape(-1, 7, 2)
+        own, n = slice(self.BETWEEN, len(code) - self.BETWEEN), len(code) - 2 * self.BETWEEN
+        gain = table[code[own], 0] + [extra[BEGIN] - extra[OUTSIDE], extra[INSIDE] - extra[OUTSIDE]]
+        for k, step in enumerate(PLACES.values()):
+            gain += table[code[self.BETWEEN + step:self.BETWEEN + step + n], 1 + k]
+        gain += self._names(code, table)[own]
+        best = np.where(code[own] == self.EDGE, -self.LOSS, gain.max(axis=1) + self.step)
+        upto = np.concatenate([[0.0], np.cumsum(best)])
+        run = upto[1:] - np.minimum.accumulate(upto[:-1])
+        return np.flatnonzero(np.maximum.reduceat(run, np.array(first) - self.BETWEEN) + self.close > -self.SLACK)
+
+    def _names(self, code: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Gain of the word that names each token, as ``namer`` finds it."""
+        word, assigns = (np.frombuffer(bytes(t), np.uint8)[code].astype(bool) for t in (self.word, self.assigns))
+        out = np.tile(np.array(self.unnamed), (len(code), 1))
+        assigned, looking = np.zeros(len(code), bool), np.ones(len(code), bool)
+        for back in range(1, min(REACH + 1, len(code))):
+            looking[:back] = False
+            there = slice(0, len(code) - back)
+            found = np.zeros(len(code), bool)
+            found[back:] = looking[back:] & word[there]
+            named = np.flatnonzero(found & (assigned | (back == 1)))
+            out[named] = table[code[named - back], 5 + assigned[named]]
+            looking &= ~found
+            looking[back:] &= code[there] != self.EDGE
+            assigned[back:] |= looking[back:] & assigns[there]
+            if not looking.any():
+                break
         return out
 
 

@@ -387,6 +387,40 @@ def test_viterbi_is_the_best_of_all_taggings(field):
     assert score(field.best(tokens, extra)) == pytest.approx(score(best))
 
 
+def _decoded_everywhere(field, text):
+    """Spans of a text with every line decoded as a chain."""
+    extra, out, start = field._sum(secret_crf.file_features(text)), [], 0
+    for line in text.split("\n"):
+        found = list(secret_crf.TOKEN.finditer(line))
+        for m, tag in zip(found, field.best([m[0] for m in found], extra)):
+            if tag == secret_crf.BEGIN:
+                out.append([start + m.start(), start + m.end()])
+            elif tag == secret_crf.INSIDE:
+                out[-1][1] = start + m.end()
+        start += len(line) + 1
+    return [tuple(s) for s in out]
+
+
+def test_lines_of_plain_words_are_not_left_out():
+    weights, moves = np.zeros((secret_crf.WEIGHTS, 3)), np.zeros((3, 3))
+    moves[secret_crf.OUTSIDE, secret_crf.INSIDE] = secret_crf.NEVER
+    weights[secret_crf.name_features(("passphrase", False))[1], secret_crf.BEGIN] = 9.0
+    weights[secret_crf._bucket("plain"), secret_crf.OUTSIDE] = 4.0
+    field = secret_crf.Field(weights, moves)
+    text = "our passphrase correcthorse stays\nnothing here\n\npassphrase tiny"
+    assert field.spans(text) == [(15, 27)] == _decoded_everywhere(field, text)
+
+
+def test_bounds_leave_out_no_span(field):
+    rng = random.Random(5)
+    rough = secret_crf.Field(np.random.default_rng(3).normal(0, 1.2, (secret_crf.WEIGHTS, 3)) - [0.3, 0.2, 0], np.array(field.moves))
+    words = ["password", "the", "pwd", "=", ":", '"', "abc123def456", "letters", "Bearer", "a", "é", "²", "x" * 30, "client_id", ">", "www.site.org/a"]
+    texts = ["\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(0, 14))) for _ in range(rng.randint(0, 12))) for _ in range(150)]
+    for own in (field, rough):
+        assert [own.spans(t) for t in texts] == [_decoded_everywhere(own, t) for t in texts]
+    assert sum(len(rough.spans(t)) for t in texts) > 50
+
+
 def test_added_spans_leave_base_spans(spark, field):
     base, every = secret_crf.scan_text(field, "my pin code = deadbeef0123456789 and password=abcdef0123456789ab\n")
     assert [s for s in every if s[2] != "crf"] == base and every == sorted(every)
