@@ -77,7 +77,7 @@ CUES = ("passphrase", "pwd", "pass", "credential", "credentials", "auth", "autho
         "client_secret", "client_id", "api_token", "auth_token", "session_key", "signing_key", "webhook_key", "pin_code", "login_key", "key")
 VARIED = 1600
 # Tokens whose bounds are kept, and tokens bounded at once.
-KNOWN, AT_ONCE = 200_000, 20_000
+KNOWN, AT_ONCE = 600_000, 20_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, int]]:
@@ -256,6 +256,7 @@ class Bounds:
         stay = moves[OUTSIDE][OUTSIDE]
         self.step = max(moves[s][t] for s in range(3) for t in (BEGIN, INSIDE) if (s, t) != (OUTSIDE, INSIDE)) - stay
         self.close = max(0.0, moves[BEGIN][OUTSIDE] - stay, moves[INSIDE][OUTSIDE] - stay)
+        self.gains = [(b - o, i - o) for b, i, o in field.weights]
         self.unnamed = self._gain(name_features(None))
         self.named = [self._gain([_bucket(f"name:assigned={assigned}")]) for assigned in (False, True)]
         self.near_odd = [g for place in PLACES for g in self._gain([_bucket(place + "=odd")])]
@@ -265,9 +266,8 @@ class Bounds:
     def _gain(self, ids) -> tuple[float, float]:
         begin = inside = 0.0
         for i in ids:
-            b, e, o = self.field.weights[i]
-            begin += b - o
-            inside += e - o
+            begin += self.gains[i][0]
+            inside += self.gains[i][1]
         return begin, inside
 
     def _forget(self):
@@ -291,22 +291,22 @@ class Bounds:
     def _add(self, token: str) -> int:
         """Bounds of a new token: the sums of ``own_features``, ``near_features`` and
         ``name_features``; a bucket's checksum goes on from that of its first part."""
-        own, low = self._own(token), token.lower()
-        self.table.extend(own if _CAN_BEGIN.fullmatch(token) else (NEVER, own[1]))
+        (begin, inside), low, gains = self._own(token), token.lower(), self.gains
+        row = [begin if _CAN_BEGIN.fullmatch(token) else NEVER, inside]
         if _ODD_TOKEN.fullmatch(token):
-            self.table.extend(self.near_odd)
+            row += self.near_odd
         else:
             text = low.encode()
             for head in _HEADS:
-                self.table.extend(self._gain([zlib.crc32(text, head) % WEIGHTS]))
+                row += gains[zlib.crc32(text, head) % WEIGHTS]
         parts = [p for p in _PART.split(low) if p]
-        for assigned, head in enumerate(self.named):
-            tail = f"|{bool(assigned)}"
-            whole = [zlib.crc32((low + tail).encode(), _NAME) % WEIGHTS]
-            whole += [zlib.crc32((p + tail).encode(), _A_PART) % WEIGHTS for p in parts]
-            whole += [zlib.crc32((p[:4] + tail).encode(), _PREFIX) % WEIGHTS for p in parts]
-            begin, inside = self._gain(whole)
-            self.table.extend((begin + head[0], inside + head[1]))
+        for tail, (begin, inside) in zip(("|False", "|True"), self.named):
+            for head, word in ((_NAME, low), *((_A_PART, p) for p in parts), *((_PREFIX, p[:4]) for p in parts)):
+                gain = gains[zlib.crc32((word + tail).encode(), head) % WEIGHTS]
+                begin += gain[0]
+                inside += gain[1]
+            row += (begin, inside)
+        self.table.extend(row)
         self.word.append(len(token) > 1 or token.isalnum())
         self.assigns.append(token in (":", "=", ">"))
         self.number[token] = len(self.number)
