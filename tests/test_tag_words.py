@@ -45,3 +45,17 @@ def test_both_shuffles_grow_with_the_characters(spark, monkeypatch):
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
     assert sorted(map(str, tags.collect())) == sorted(map(str, made.select("image", F.lit("tree").alias("label_normalized")).union(
         spark.createDataFrame([(None, "tree")], "image long, label_normalized string")).collect()))
+
+
+def test_lines_split_at_every_kind_of_break(spark):
+    texts = [(1, "a\r\nb\rc\nd"), (2, "\r\r\n\n"), (3, ""), (4, None), (5, "x\n")]
+    docs = spark.createDataFrame(texts, "k long, t string")
+    want = docs.select("k", F.explode(F.split("t", T.LINE_BREAK)))
+    assert sorted(T.lines_from_text(docs, "k", "t").collect()) == sorted(want.collect())
+
+
+def test_words_once_seen_cost_no_rules(monkeypatch):
+    W.tokens.cache_clear()
+    first = W.line_tokens("photos trees of")
+    monkeypatch.setattr(W, "singular", lambda s: s if s.startswith("photos trees") else 1 / 0)
+    assert W.line_tokens("photos trees of") == first == ["photo", "tree", "of"]
