@@ -3,6 +3,7 @@ shuffles that grow with the lines."""
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tagloom.functions import tag_words as W
@@ -59,3 +60,25 @@ def test_words_once_seen_cost_no_rules(monkeypatch):
     first = W.line_tokens("photos trees of")
     monkeypatch.setattr(W, "singular", lambda s: s if s.startswith("photos trees") else 1 / 0)
     assert W.line_tokens("photos trees of") == first == ["photo", "tree", "of"]
+
+
+def test_lines_of_several_parts_have_the_tokens_of_the_expressions(spark):
+    rng = random.Random(5)
+    words = ["Haanth.", "that", "The", "stings", "testes", "jeans", "fishes", "women", "ciónboído", "ía", "data", "media", "großer.", "été,", "oxen", "canons", "bw", "of", "a",
+             "re-do", "..a", "u.s.", "f/2", "12", "peoples", "^", "^s", "kisses", "Ía", "novia", "cacti", "viri", "CANON", "series", "no.", "Æs", "straßen", "ΟΔΟΣ", "กข", "--", "\x01", "¿qué?", "x,y"]
+    made = [rng.choice(["", " "]) + " ".join(rng.choice(words) for _ in range(rng.randint(1, 6))) + rng.choice(["", "", ".", " "]) for _ in range(1500)]
+    lines = spark.createDataFrame([(x,) for x in [*made, *words, "a" * 70 + " trees", None]], "label string")
+    got = lines.select("label", T.line_tokens(F.col("label")).alias("a"), X.line_tokens(F.col("label")).alias("b"))
+    assert got.where("not (a <=> b)").collect() == []
+
+
+def test_plain_words_are_looked_up_without_the_rules(monkeypatch):
+    monkeypatch.setattr(W, "line_part", lambda c: 1 / 0)
+    got = W.tokens_of_lines(pa.array(["Haanth thatrent, réreai trees onion thatrent.", None]))
+    assert got.to_pylist() == [["haanth", "thatrent", "rereai", "tree", "onion", "thatrent."][:5], None]
+
+
+def test_tokens_are_exploded_by_compiled_code(spark):
+    lines = spark.createDataFrame([(1, "some Trees")], "image long, label string")
+    plan = T.tokenize_lines(lines)._jdf.queryExecution().executedPlan().toString()
+    assert [x for x in plan.splitlines() if "Generate explode(tokens" in x]
