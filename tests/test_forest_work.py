@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tagloom.operators import tags as T
 from tagloom.operators import trees as TR
 from tagloom.plans import q_inference as Q
 
@@ -79,3 +80,31 @@ def test_mllib_fits_run_side_by_side_with_the_same_predictions(spark, monkeypatc
     test = {r["id"] for r in ids.where(~Q.FE.is_train(F.col("id"))).collect()}
     want = {(i, "odd" if i % 2 else "even") for i in test} | {(i, "two") for i in test if i % 3 == 2}
     assert got == want and 1 < max(most) <= Q.FITS_AT_ONCE
+
+
+def test_image_tags_are_the_grouped_normalised_tags(spark):
+    rows = [(1, "The red cars"), (1, "cars RED"), (2, "the"), (3, None), (None, "dogs"), (1, "The red cars"), (4, "geo:lat=1.5 Canon EOS 5D"), (5, "")]
+    lines = spark.createDataFrame(rows, "image long, label string")
+    want = T.normalized_tags(lines).groupBy("image").agg(F.array_sort(F.collect_set("label_normalized")).alias("labels"))
+    assert sorted(map(repr, T.image_tags(lines).collect())) == sorted(map(repr, want.collect()))
+    # One shuffle of lines and one of arrays: no (image, token) rows move.
+    assert T.image_tags(lines)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+
+def test_mllib_stores_no_row_per_token_and_shuffles_by_the_cores(spark, monkeypatch):
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    fit, tasks, kept = DecisionTreeClassifier.fit, [], []
+
+    def watched(self, data):
+        tasks.append(data.rdd.getNumPartitions())
+        return fit(self, data)
+    store = Q.materialize
+    monkeypatch.setattr(DecisionTreeClassifier, "fit", watched)
+    monkeypatch.setattr(Q, "materialize", lambda df, name: kept.append(name) or store(df, name))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert Q.mllib_predictions(spark, "/root/testdata/sf0.001", 2).count() > 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert kept == ["model-pairs", "mllib-predictions"] and 0 < max(tasks) <= spark.sparkContext.defaultParallelism
