@@ -25,7 +25,7 @@ def tag_files(spark, sf_dir) -> str:
     """Every document's lines as the file ``tags<doc_id>.txt``."""
     lines = standins.tag_lines(spark, sf_dir).withColumn("name", F.concat(F.lit("tags"), F.col("image").cast("string"), F.lit(".txt")))
     path = scratch_path(spark, "tag-files")
-    sinks.write_named_texts(lines, path, "name", "label")
+    sinks.write_named_texts(lines, path, "name", "label", folders=False)
     return path
 
 

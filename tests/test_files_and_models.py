@@ -1,6 +1,7 @@
 """Writers, stored files and models, quantile bins, sketches."""
 
 import glob
+import gzip
 import os
 
 import pytest
@@ -197,3 +198,41 @@ def test_sketches_of_parts_merge(spark):
     total = D.merged(parts).first().estimate
     assert abs(total - 20_000) <= 4 * D.STANDARD_ERROR * 20_000
     assert D.merged(parts.limit(0)).first().estimate in (0, None)
+
+
+def test_tag_files_are_listed_by_tasks_as_spark_reads_them(spark, tmp_path, monkeypatch):
+    root = tmp_path / "tags"
+    bodies = {"a/tags1.txt": b"x\r\ny\rz\n\nlast", "a/tags2.txt": b"", "file=tags3.txt/part-0.txt": b"\n", "tags4.txt": b"\xef\xbb\xbfm\n", "b/c/tags 5%41.txt": b"\xc3\xa9\n\xff",
+              "a/_tags6.txt": b"no", "a/.tags7.txt": b"no", "_b/tags8.txt": b"no", "b/tags9.txt": b"\xef\xbb\xbf", "b/c=d/tags10.txt": b"p\n"}
+    for name, body in bodies.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(body)
+    (root / "b/tags11.txt.gz").write_bytes(gzip.compress(b"packed\nlines\n" * 2))
+    import tagloom.sources.tables as TA
+    theirs = TA._named_files(spark, "text", str(root), None).select(TA.X.tag_file_key(TA.file_name(F.col("_metadata.file_path"))).alias("image"), F.col("value").cast("binary").alias("b"))
+    want = sorted((r.image, bytes(r.b)) for r in theirs.collect())
+    monkeypatch.setattr(TA, "_named_files", lambda *a: pytest.fail("listed in the driver"))
+    got = sorted((r.image, bytes(r.b)) for r in tables.read_tag_files(spark, str(root)).select("image", F.col("label").cast("binary").alias("b")).collect())
+    assert got == want and len(got) == 14
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 5, 64])
+def test_pieces_of_a_file_hold_each_line_once(tmp_path, monkeypatch, piece):
+    import tagloom.sources.tables as TA
+    monkeypatch.setattr(TA, "_PIECE", piece)
+    for body in (b"ab\r\n\r\ncd\re\n\nf", b"\n\r\r\n\n", b"abcdefgh", b"\xef\xbb\xbfab\ncd\n", b"\r\n" * 5, b"a\r"):
+        path = tmp_path / f"tags{len(body)}.txt"
+        path.write_bytes(body)
+        size = len(body)
+        got = [x for start in range(0, size, piece) for x in TA._lines_of(str(path), start, min(size, start + piece))]
+        assert got == body.removeprefix(b"\xef\xbb\xbf").splitlines()
+
+
+def test_tag_files_have_no_folder_of_their_own(spark, tmp_path):
+    rows = [(f"tags{i}.txt", f"v{i}") for i in range(50)] + [("_odd.txt", "o"), (".dot.txt", "d"), ("part-1", "p"), (None, "n"), ("a/b.txt", "s")]
+    path = scratch_path(spark, "flat")
+    sinks.write_named_texts(spark.createDataFrame(rows, "n string, v string"), path, "n", "v", folders=False)
+    files = [f for f in glob.glob(path.replace("file:", "") + "/**/*", recursive=True, include_hidden=True) if os.path.isfile(f)]
+    assert len(files) == 55 and sum("/file=" in f for f in files) == 4
+    assert len({os.path.dirname(f) for f in files if "/file=" not in f}) < 50
+    assert sorted(r.label for r in tables.read_tag_files(spark, path).collect()) == sorted(v for _, v in rows)
