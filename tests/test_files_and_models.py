@@ -3,6 +3,7 @@
 import glob
 import gzip
 import os
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -236,3 +237,9 @@ def test_tag_files_have_no_folder_of_their_own(spark, tmp_path):
     assert len(files) == 55 and sum("/file=" in f for f in files) == 4
     assert len({os.path.dirname(f) for f in files if "/file=" not in f}) < 50
     assert sorted(r.label for r in tables.read_tag_files(spark, path).collect()) == sorted(v for _, v in rows)
+
+
+def test_tag_files_that_only_spark_unpacks(spark, tmp_path):
+    (tmp_path / "tags1.txt").write_bytes(b"a\n")
+    (tmp_path / "tags2.txt.deflate").write_bytes(zlib.compress(b"b\nc\n"))
+    assert sorted((r.image, r.label) for r in tables.read_tag_files(spark, str(tmp_path)).collect()) == [("1", "a"), ("2", "b"), ("2", "c")]
